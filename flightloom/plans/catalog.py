@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flightloom.plans import data_queries
+from flightloom.plans import data_queries, data_sql
 
 
 def queries() -> dict:
@@ -10,4 +10,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {**data_sql.SQL}
