@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -210,10 +211,10 @@ def _names(text: str, terms: Terms) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def find_details(text: str | None, terms: Terms) -> list[tuple[str, int, int]]:
-    """Personal details of one text: (kind, start, end), without overlaps, in order."""
+def candidates(text: str | None, terms: Terms) -> set[tuple[str, int, int]]:
+    """Everything in a text that may be a personal detail: (kind, start, end), overlaps included."""
     if not text:
-        return []
+        return set()
     found: list[tuple[str, int, int]] = []
     low = text.lower()
     if "@" in text or "at)" in low or "at]" in low:
@@ -234,14 +235,48 @@ def find_details(text: str | None, terms: Terms) -> list[tuple[str, int, int]]:
             if not _FIGURES.search(text, max(0, m.start() - 16), m.start()):
                 found.append(("phone", *m.span()))
     found += [("name", *s) for s in _names(text, terms)]
+    return set(found)
+
+
+def without_overlaps(found: set[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Of overlapping findings the kind that takes precedence stays, then the longest; in order."""
     rank = {k: i for i, k in enumerate(PRECEDENCE)}
     taken: list[tuple[str, int, int]] = []
-    for kind, a, b in sorted(set(found), key=lambda x: (rank[x[0]], x[1] - x[2], x[1])):
+    for kind, a, b in sorted(found, key=lambda x: (rank[x[0]], x[1] - x[2], x[1])):
         if all(b <= c or a >= d for _, c, d in taken):
             taken.append((kind, a, b))
     return sorted(taken, key=lambda x: x[1])
 
 
+def find_details(text: str | None, terms: Terms) -> list[tuple[str, int, int]]:
+    """Personal details of one text, without overlaps, in order."""
+    return without_overlaps(candidates(text, terms))
+
+
+def _masked(text: str | None, details: list[tuple[str, int, int]]) -> str | None:
+    for kind, a, b in reversed(details):
+        text = text[:a] + PLACEHOLDERS[kind] + text[b:]
+    return text
+
+
+def _gathered(base: DataFrame, portions: list[Terms]) -> DataFrame:
+    """(doc_id, details): candidates of every portion of terms, brought together per document.
+
+    Only for more terms than one pass holds.  A document's details are bounded by its length.
+    """
+
+    def search(own: Terms):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield pd.DataFrame([(d, *c) for d, t in zip(pdf["doc_id"].tolist(), pdf["text"].tolist()) for c in candidates(t, own)], columns=["doc_id", "kind", "a", "b"])
+
+        return run
+
+    schema = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, kind string, a int, b int"
+    parts = [base.mapInPandas(search(own), schema) for own in portions]
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id").agg(F.collect_set(F.struct("kind", "a", "b")).alias("details"))
+
+
 def personal_details(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", terms: list[Terms] | None = None) -> DataFrame:
     """Each distinct personal detail of each document: (doc_id, pii_kind, pii_value).
 
@@ -249,44 +284,36 @@ def personal_details(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     of any length are read; repeated details of a document count once; columns not named are
     left out; an empty table gives no rows.  No shuffle but that of the distinct.
     """
-    portions = protected_terms(documents, text) if terms is None else terms
-    base = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    base, given = _with_details(documents, doc_id, text, terms)
     schema = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, pii_kind string, pii_value string"
 
-    def find(own: Terms):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                rows = {(d, k, t[a:b]) for d, t in zip(pdf["doc_id"].tolist(), pdf["text"].tolist()) for k, a, b in find_details(t, own)}
-                yield pd.DataFrame(sorted(rows, key=repr), columns=["doc_id", "pii_kind", "pii_value"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = {(d, k, t[a:b]) for d, t, details in given(pdf) for k, a, b in details}
+            yield pd.DataFrame(sorted(rows, key=repr), columns=["doc_id", "pii_kind", "pii_value"])
 
-        return run
+    return base.mapInPandas(run, schema).distinct()
 
-    out = None
-    for own in portions:
-        part = base.mapInPandas(find(own), schema)
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
+
+def _with_details(documents: DataFrame, doc_id: str, text: str, terms: list[Terms] | None):
+    """Documents, and how to get (doc_id, text, details) from a batch of them."""
+    portions = protected_terms(documents, text) if terms is None else terms
+    base = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if len(portions) == 1:
+        own = portions[0]
+        return base, lambda pdf: ((d, t, find_details(t, own)) for d, t in zip(pdf["doc_id"].tolist(), pdf["text"].tolist()))
+    joined = base.join(_gathered(base, portions), "doc_id", "left")
+    as_set = lambda x: set() if x is None else {(r["kind"], r["a"], r["b"]) for r in x}
+    return joined, lambda pdf: ((d, t, without_overlaps(as_set(x))) for d, t, x in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), pdf["details"].tolist()))
 
 
 def sanitised(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", terms: list[Terms] | None = None) -> DataFrame:
     """Texts with a typed placeholder in place of each detail: (doc_id, text, n_details)."""
-    portions = protected_terms(documents, text) if terms is None else terms
-    base = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("n_details", F.lit(0))
+    base, given = _with_details(documents, doc_id, text, terms)
+    schema = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, text string, n_details int"
 
-    def replace(own: Terms):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                texts, counts = [], []
-                for t, n in zip(pdf["text"].tolist(), pdf["n_details"].tolist()):
-                    details = find_details(t, own)
-                    for kind, a, b in reversed(details):
-                        t = t[:a] + PLACEHOLDERS[kind] + t[b:]
-                    texts.append(t)
-                    counts.append(n + len(details))
-                yield pdf.assign(text=texts, n_details=counts)
-
-        return run
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([(d, _masked(t, details), len(details)) for d, t, details in given(pdf)], columns=["doc_id", "text", "n_details"])
 
-    for own in portions:
-        base = base.mapInPandas(replace(own), base.schema)
-    return base
+    return base.mapInPandas(run, schema)
