@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightloom.operators import canonical, windows
-from flightloom.operators.windows import ALONG
+from flightloom.operators.windows import along
 
 
 def _year(df: DataFrame) -> DataFrame:
@@ -27,11 +27,11 @@ def growth_rate(series: DataFrame, value: str, most_years: int = 10) -> DataFram
 def supply_demand(carrier: DataFrame, service: str = "scheduled_domestic", points: int = 37) -> DataFrame:
     """Trailing years of seats and demand as indices to a common base, with the load factor."""
     monthly = carrier.where(F.col("service_type") == service).groupBy("p").agg(F.sum("passengers").alias("passengers"), F.sum(F.col("seat_km").cast("decimal(24,3)")).alias("seat_km"), F.sum(F.col("passenger_km").cast("decimal(24,3)")).alias("passenger_km"))
-    w = ALONG.rangeBetween(-11, 0)
+    w = along().rangeBetween(-11, 0)
     full = lambda c: F.when(F.count(c).over(w) == 12, F.sum(c).over(w)).cast("double").alias(c)
     t12 = monthly.select("p", full("passengers"), full("seat_km"), full("passenger_km")).where("passengers IS NOT NULL AND seat_km IS NOT NULL AND passenger_km IS NOT NULL")
     last = t12.orderBy(F.desc("p")).limit(points)
-    first = ALONG.rowsBetween(Window.unboundedPreceding, 0)
+    first = along().rowsBetween(Window.unboundedPreceding, 0)
     index = lambda c: F.round(F.col(c) / F.first(c).over(first) * 100, 6).alias(f"idx_{c}")
     return last.select("p", index("seat_km"), index("passenger_km"), index("passengers"), F.round(F.try_divide("passenger_km", "seat_km") * 100, 6).alias("load_factor"))
 
@@ -53,7 +53,7 @@ def focus_vs_rest(monthly: DataFrame, focus: str, points: int = 61) -> DataFrame
     t12 = windows.matrix_trailing(monthly, "airport", "passengers", 12)
     two = t12.groupBy("p").agg(F.sum(F.when(F.col("airport") == focus, F.col("total"))).alias("focus"), F.sum(F.when(F.col("airport") != focus, F.col("total"))).alias("rest"))
     last = two.where("focus > 0 AND rest > 0").orderBy(F.desc("p")).limit(points)
-    first = ALONG.rowsBetween(Window.unboundedPreceding, 0)
+    first = along().rowsBetween(Window.unboundedPreceding, 0)
     index = lambda c: F.round(F.col(c).cast("double") / F.first(c).over(first).cast("double") * 100, 6).alias(f"idx_{c}")
     return last.select("p", "focus", "rest", index("focus"), index("rest"))
 
@@ -113,7 +113,7 @@ def two_entity_share(monthly: DataFrame, a: str, b: str) -> DataFrame:
     """Share of ``a`` in ``a`` plus ``b`` for months that both published, and its step against the month before."""
     two = monthly.where(F.col("airport").isin(a, b) & F.col("passengers").isNotNull()).groupBy("p").agg(F.sum(F.when(F.col("airport") == a, F.col("passengers"))).alias("a"), F.sum(F.when(F.col("airport") == b, F.col("passengers"))).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
     share = two.withColumn("share", F.try_divide(F.col("a").cast("double"), (F.col("a") + F.col("b")).cast("double")))
-    step = F.when(F.col("p") - F.lag("p").over(ALONG) == 1, F.col("share") - F.lag("share").over(ALONG))
+    step = F.when(F.col("p") - F.lag("p").over(along()) == 1, F.col("share") - F.lag("share").over(along()))
     return share.select("p", "a", "b", F.round("share", 9).alias("share"), F.round(step, 9).alias("step"))
 
 

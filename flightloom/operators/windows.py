@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from flightloom.functions.periods import calendar
 
-ALONG = Window.partitionBy(F.lit(0)).orderBy("p")
+
+def along():
+    """Window over a whole series in the order of its periods."""
+    return Window.partitionBy(F.lit(0)).orderBy("p")
 
 
 def matrix_trailing(df: DataFrame, entity: str, value: str, width: int) -> DataFrame:
     """Zero-filled: a period is emitted for every entity if all ``width`` periods up to it exist somewhere in the table."""
     periods = df.select("p").distinct()
-    whole = periods.withColumn("n", F.count("p").over(ALONG.rangeBetween(-(width - 1), 0))).where(F.col("n") == width).select("p")
+    whole = periods.withColumn("n", F.count("p").over(along().rangeBetween(-(width - 1), 0))).where(F.col("n") == width).select("p")
     sums = df.groupBy(entity, "p").agg(F.coalesce(F.sum(value), F.lit(0)).alias("v"))
     # a value counts in the `width` periods from its own on; only those that are emitted stay
     reach = sums.select(entity, "v", F.explode(F.sequence(F.col("p"), F.col("p") + (width - 1))).alias("p")).join(whole, "p", "left_semi")
@@ -35,7 +38,7 @@ def gap_honest_trailing(df: DataFrame, entity: str, value: str, width: int) -> D
 def national_trailing(series: DataFrame, value: str, width: int, known_zero: list[int]) -> DataFrame:
     """One series on its full calendar: only periods known to be zero are filled, other gaps void the windows over them."""
     filled = calendar(series).join(series, "p", "left").withColumn("v", F.when(F.col(value).isNull() & F.col("p").isin(known_zero or [-1]), F.lit(0)).otherwise(F.col(value)))
-    w = ALONG.rangeBetween(-(width - 1), 0)
+    w = along().rangeBetween(-(width - 1), 0)
     total = F.when(F.count("v").over(w) == width, F.sum("v").over(w))
     out = filled.withColumn("total", total)
     return out.select("p", F.col("v").alias("value"), "total", yoy("v", width).alias("yoy"), yoy("total", width).alias("total_yoy"))
@@ -43,13 +46,13 @@ def national_trailing(series: DataFrame, value: str, width: int, known_zero: lis
 
 def yoy(value: str, lag: int):
     """Change against ``lag`` rows before on a gap-free calendar; a zero base gives null."""
-    return F.try_divide(F.col(value).cast("double"), F.lag(value, lag).over(ALONG).cast("double")) - 1
+    return F.try_divide(F.col(value).cast("double"), F.lag(value, lag).over(along()).cast("double")) - 1
 
 
 def positional_trailing(series: DataFrame, value: str, width: int) -> DataFrame:
     """By rows, not by calendar: gaps are not seen."""
-    rows = ALONG.rowsBetween(-(width - 1), 0)
-    return series.select("p", F.col(value).alias("value"), F.when(F.count(value).over(rows) == width, F.sum(value).over(rows)).alias("total"), F.lag(value, width).over(ALONG).alias("before"))
+    rows = along().rowsBetween(-(width - 1), 0)
+    return series.select("p", F.col(value).alias("value"), F.when(F.count(value).over(rows) == width, F.sum(value).over(rows)).alias("total"), F.lag(value, width).over(along()).alias("before"))
 
 
 def step_change(df: DataFrame, entity: str, value: str) -> DataFrame:
@@ -65,7 +68,7 @@ def first_seen(df: DataFrame, entity: str) -> DataFrame:
 def index_to_base(series: DataFrame, value: str, points: int) -> DataFrame:
     """Last ``points`` known values relative to the first of them, as 100."""
     known = series.where(F.col(value).isNotNull()).orderBy(F.desc("p")).limit(points)
-    return known.select("p", (F.col(value).cast("double") / F.first(value).over(ALONG.rowsBetween(Window.unboundedPreceding, 0)) * 100).alias("idx"))
+    return known.select("p", (F.col(value).cast("double") / F.first(value).over(along().rowsBetween(Window.unboundedPreceding, 0)) * 100).alias("idx"))
 
 
 def ranked(df: DataFrame, by: list, key: str, name: str = "rank") -> DataFrame:

@@ -106,7 +106,7 @@ def carrier_checks(carrier: DataFrame, metrics: tuple[str, ...], factors: tuple[
     fine = lambda c: F.count_if(F.abs(F.col(c) * 1000 - F.round(F.col(c) * 1000)) > 1e-6)
     agg = carrier.agg(
         *(outside(c).alias(f"out_{c}") for c in factors), *(fine(c).alias(f"fine_{c}") for c in metrics),
-        F.count_if(F.least(*(c for c in metrics if c not in factors)) < 0).alias("negative"), F.count_if(F.col("passengers") < 0).alias("domain"),
+        F.count_if(F.array_min(F.array(*(c for c in metrics if c not in factors))) < 0).alias("negative"), F.count_if(F.col("passengers") < 0).alias("domain"),
     )
     parts = [key_unique(carrier, ["airline", "service_type", "p"], "carrier.unique")]
     parts += [finding(agg, f"carrier.load_factor.{c}", F.col(f"out_{c}"), ADVISORY, F.format_string("%d outside 0 to 100", F.col(f"out_{c}"))) for c in factors]
