@@ -40,8 +40,8 @@ COMMON, LONGEST_PIECE = 5, 6
 BITS, DISTANCE = 64, 0.40
 #: What makes an aligned stretch a passage: item words it spans, weight of its matched
 #: words, and their share of the weight of all words spanned.  A passage of ``WINDOW`` words
-#: may have wrong words at its ends, which the alignment cannot claim.
-LEAST_WORDS, LEAST_WEIGHT, LEAST_SHARE = 13, 21.0, 0.78
+#: may have a wrong word at one end, which the alignment cannot claim.
+LEAST_WORDS, LEAST_WEIGHT, LEAST_SHARE = 14, 22.0, 0.78
 #: Penalty of a wrong word against the weight of a right one.
 PENALTY = 1.3
 #: Bytes of item text that one pass over the documents holds.
