@@ -165,11 +165,15 @@ def disclosure_terms(documents: DataFrame, text: str = "text") -> DataFrame:
     Counted over all documents and their whole texts; batches send sums, Spark adds them
     up.  ``bits`` is the pointwise mutual information of the term with the presence of a person.
     """
+    total = _term_sums(documents, text)
+    base = total.groupBy("kind").agg(F.try_divide(F.sum("cued"), F.sum("seen")).alias("base"))
+    return total.join(base, "kind").select("kind", "term", "cued", "seen", "share", F.when(F.col("cued") > 0, F.log2(F.col("share") / F.col("base"))).alias("bits"))
+
+
+def _term_sums(documents: DataFrame, text: str) -> DataFrame:
     counts = documents.select(F.col(text).alias("text")).mapInPandas(_count_terms, "kind string, term string, cued long, seen long")
     total = counts.groupBy("kind", "term").agg(F.sum("cued").alias("cued"), F.sum("seen").alias("seen"))
-    base = counts.groupBy("kind").agg((F.sum("cued") / F.sum("seen")).alias("base"))
-    share = F.least(F.lit(1.0), F.try_divide("cued", "seen"))
-    return total.join(base, "kind").select("kind", "term", "cued", "seen", share.alias("share"), F.when(F.col("cued") > 0, F.log2(share / F.col("base"))).alias("bits"))
+    return total.withColumn("share", F.least(F.lit(1.0), F.try_divide("cued", "seen")))
 
 
 def protected_terms(documents: DataFrame, text: str = "text") -> list[Terms]:
@@ -178,7 +182,8 @@ def protected_terms(documents: DataFrame, text: str = "text") -> list[Terms]:
     Endings are bounded by their length.  First names are fetched in portions of
     ``TERMS_PER_PASS``; a corpus with more of them is read once per portion.
     """
-    terms = disclosure_terms(documents, text).where(((F.col("kind") == "first") & (F.col("share") >= DISCLOSURE)) | ((F.col("kind") == "ending") & (F.col("share") >= ENDING_DISCLOSURE))).select("kind", "term")
+    # thresholds on the share need no base rate, so texts are read once
+    terms = _term_sums(documents, text).where(((F.col("kind") == "first") & (F.col("share") >= DISCLOSURE)) | ((F.col("kind") == "ending") & (F.col("share") >= ENDING_DISCLOSURE))).select("kind", "term")
     first, endings = [], set()
     for kind, term in terms.toLocalIterator():
         endings.add(term) if kind == "ending" else first.append(term)
