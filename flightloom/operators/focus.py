@@ -154,9 +154,10 @@ def white_space(routes: DataFrame, hub: str, least: int = 100_000) -> DataFrame:
     return ends.where(F.col("airport") != hub).join(partners, "airport", "left_anti")
 
 
-def catchment(monthly: DataFrame, members: list[str], back: int = 36, recent: int = 12) -> DataFrame:
-    """Trailing years of a group at its best covered recent month, and growth if the same members were there ``back`` months before."""
-    t12 = windows.gap_honest_trailing(monthly.where(F.col("airport").isin(members)), "airport", "passengers", 12).where("total IS NOT NULL")
+def catchment(monthly: DataFrame, members: DataFrame, back: int = 36, recent: int = 12) -> DataFrame:
+    """Trailing years of a group (``airport``) at its best covered recent month, and growth if the same members were there ``back`` months before."""
+    own = monthly.join(members.select("airport").distinct(), "airport", "left_semi")
+    t12 = windows.gap_honest_trailing(own, "airport", "passengers", 12).where("total IS NOT NULL")
     per = t12.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("total"), F.array_sort(F.collect_set("airport")).alias("who"))
     last = per.agg(F.max("p").alias("hi"))
     anchor = per.join(F.broadcast(last), F.col("p") > F.col("hi") - recent).agg(F.max_by(F.struct("p", "n", "total", "who"), F.struct("n", "p")).alias("x")).where("x IS NOT NULL").select("x.*")

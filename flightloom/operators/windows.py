@@ -25,7 +25,9 @@ def matrix_trailing(df: DataFrame, entity: str, value: str, width: int) -> DataF
     # a value counts in the `width` periods from its own on; only those that are emitted stay
     reach = sums.select(entity, "v", F.explode(F.sequence(F.col("p"), F.col("p") + (width - 1))).alias("p")).join(whole, "p", "left_semi")
     got = reach.groupBy(entity, "p").agg(F.sum("v").alias("total"))
-    spots = df.select(entity).where(F.col(entity).isNotNull()).distinct().withColumn("k", F.lit(1)).join(whole.withColumn("k", F.lit(1)), "k").drop("k")
+    # the calendar is one row of a few hundred periods; entities stay where they are
+    periods_row = F.broadcast(whole.agg(F.sort_array(F.collect_list("p")).alias("__ps")))
+    spots = df.select(entity).where(F.col(entity).isNotNull()).distinct().join(periods_row, F.lit(True)).select(entity, F.explode("__ps").alias("p"))
     return spots.join(got, [entity, "p"], "left").select(entity, "p", F.coalesce("total", F.lit(0)).alias("total"))
 
 

@@ -570,9 +570,8 @@ _CATCH = ["A", "B", "C", "D"]
 x AS (SELECT p, count(*) AS n, sum(total) AS total, string_agg(airport, ',' ORDER BY airport) AS who FROM t WHERE total IS NOT NULL GROUP BY p), a AS (SELECT * FROM x WHERE p > (SELECT max(p) - 12 FROM x) ORDER BY n DESC, p DESC LIMIT 1)
 SELECT a.p, a.n, CAST(a.total AS BIGINT) AS total, CASE WHEN a.who = b.who THEN round(CAST(a.total AS DOUBLE) / nullif(CAST(b.total AS DOUBLE), 0) - 1, 9) END AS growth FROM a LEFT JOIN x b ON b.p = a.p - 36""")
 def noi09_catchment(spark, root):
-    m = airport_months(spark, root).where(F.substring("airport", 1, 1).isin(_CATCH))
-    members = [r.airport for r in m.select("airport").distinct().limit(100_000).collect()]
-    return focus.catchment(m, members)
+    m = airport_months(spark, root)
+    return focus.catchment(m, m.select("airport").where(F.substring("airport", 1, 1).isin(_CATCH)))
 
 
 @query(f"""WITH {ROUTE}, y AS (SELECT p // 12 AS year FROM route_m GROUP BY 1 HAVING count(DISTINCT p) = 12), s AS (SELECT p // 12 AS year, least(origin, destination) AS a, greatest(origin, destination) AS b, coalesce(sum(passengers), 0) AS v FROM route_m WHERE p // 12 IN (SELECT year FROM y) GROUP BY 1, 2, 3),

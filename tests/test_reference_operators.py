@@ -194,7 +194,7 @@ def test_white_space(spark):
 
 def test_catchment_compares_equal_sets_only(spark):
     data = [("A", k, 10) for k in range(60)] + [("B", k, 10) for k in range(40, 60)]
-    r = focus.catchment(panel(spark, data), ["A", "B"]).first()
+    r = focus.catchment(panel(spark, data), spark.createDataFrame([("A",), ("B",)], "airport string")).first()
     assert (r.n, r.total, r.growth) == (2, 240, None)
 
 
