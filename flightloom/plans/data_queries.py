@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,19 +116,34 @@ def p6_flags(spark: SparkSession, root: str) -> DataFrame:
     return _flags(spark, root).select(F.col("measure").alias("table_name"), F.col("source").alias("entity"), *_year_month(), "value", "flag", F.round("probability", 6).alias("probability"))
 
 
-def _load_profile(spark: SparkSession, root: str) -> DataFrame:
-    air = profile.load_cells(read_table(spark, root, "airport_monthly"), "airport_monthly", "load_no", [profile.ColumnCheck("passengers", 0.0, None, 1.0)], ["airport", "year", "month"])
-    inter = profile.load_cells(read_table(spark, root, "airport_international_quarterly"), "airport_international_quarterly", "load_no", [profile.ColumnCheck("quarter", 1.0, 4.0)], ["airport", "year", "passengers"])
-    car = profile.load_cells(read_table(spark, root, "carrier_monthly"), "carrier_monthly", "load_no", [profile.ColumnCheck("passenger_load_factor", 0.0, 100.0, 0.001)], ["airline", "service_type", "year", "month"])
-    return profile.profile_loads(air.unionByName(inter).unionByName(car))
+#: The columns whose loads are named, and the columns that tell two rows of a table apart.
+WATCHED = {
+    "airport_monthly": ([profile.ColumnCheck("passengers", 0.0, None, 1.0)], ["airport", "year", "month"]),
+    "airport_international_quarterly": ([profile.ColumnCheck("quarter", 1.0, 4.0)], ["airport", "year", "passengers"]),
+    "carrier_monthly": ([profile.ColumnCheck("passenger_load_factor", 0.0, 100.0, 0.001)], ["airline", "service_type", "year", "month"]),
+}
+#: For the whole profile, columns next to them.
+PROFILED = {
+    "airport_monthly": ([*WATCHED["airport_monthly"][0], profile.ColumnCheck("departures", 0.0, None, 1.0), profile.ColumnCheck("arrivals", 0.0, None, 1.0)], WATCHED["airport_monthly"][1]),
+    "airport_international_quarterly": ([*WATCHED["airport_international_quarterly"][0], profile.ColumnCheck("passengers", 0.0, None, 1.0)], WATCHED["airport_international_quarterly"][1]),
+    "carrier_monthly": ([*WATCHED["carrier_monthly"][0], profile.ColumnCheck("weight_load_factor", 0.0, 100.0, 0.001), profile.ColumnCheck("passengers", 0.0, None, 1.0)], WATCHED["carrier_monthly"][1]),
+}
+
+
+def _load_profile(spark: SparkSession, root: str, watched: dict) -> DataFrame:
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
+    base = union([profile.load_cells(read_table(spark, root, t), t, "load_no", checks) for t, (checks, _) in watched.items()])
+    train = union([profile.training_cells(read_table(spark, root, t), t, "load_no", checks, identity) for t, (checks, identity) in watched.items()])
+    order = {t: [c.column for c in checks] for t, (checks, _) in watched.items()}
+    return profile.profile_loads(profile.base_profile(base), profile.discrimination(train), order)
 
 
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
-    return profile.load_issues(_load_profile(spark, root))
+    return profile.load_issues(_load_profile(spark, root, WATCHED))
 
 
 def p7_profile(spark: SparkSession, root: str) -> DataFrame:
-    return _load_profile(spark, root)
+    return _load_profile(spark, root, PROFILED)
 
 
 def p7_columns(spark: SparkSession, root: str) -> DataFrame:
