@@ -30,15 +30,16 @@ def trailing_totals(activity: DataFrame, entity: list[str], period: str, value:
     sparse = base.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*entity, "period"])).groupBy(*entity, "period").agg(F.sum("__v").alias("value"))
     sparse = sparse.where("value IS NOT NULL")
     span = sparse.groupBy(*entity).agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
-    idle = block_calendar(span, entity, "period", block).select(*entity, "period", "__b", F.lit(None).cast(sparse.schema["value"].dataType).alias("value"), F.lit(False).alias("__halo"))
-    placed = with_blocks(sparse, "period", reach, block).select(*entity, "period", "__b", "value", "__halo")
-    rows = placed.unionByName(idle)
-    # a calendar row and the activity of its period fold into one
-    rows = rows.groupBy(*entity, "__b", "period", "__halo").agg(F.max("value").alias("value"))
+    calendar = block_calendar(span, entity, "period", block).select(*entity, "period", "__b", F.lit(None).cast(sparse.schema["value"].dataType).alias("value"), F.lit(True).alias("__day"))
+    placed = with_blocks(sparse, "period", reach, block).select(*entity, "period", "__b", "value", F.lit(False).alias("__day"))
+    # a calendar row and the activity of its period are peers in every RANGE frame, so
+    # they need not be joined: frames are read off the calendar rows
+    rows = placed.unionByName(calendar)
     out = rows
     for w in windows:
         frame = Window.partitionBy(*entity, "__b").orderBy("period").rangeBetween(-(w - 1), 0)
         out = out.withColumn(f"total_{w}", F.coalesce(F.sum("value").over(frame), F.lit(0))).withColumn(f"active_{w}", F.count("value").over(frame).cast("int"))
-    inside = out.where(~F.col("__halo"))
+    own = F.sum("value").over(Window.partitionBy(*entity, "__b").orderBy("period").rangeBetween(0, 0))
+    days = out.withColumn("value", F.coalesce(own, F.lit(0))).where("__day")
     cols = [c for w in windows for c in (F.col(f"total_{w}"), (F.col(f"total_{w}") / F.lit(float(w))).alias(f"avg_{w}"), F.col(f"active_{w}"))]
-    return inside.select(*entity, "period", F.coalesce("value", F.lit(0)).alias("value"), *cols)
+    return days.select(*entity, "period", "value", *cols)
