@@ -59,8 +59,8 @@ def p2_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p3_trailing(spark: SparkSession, root: str) -> DataFrame:
-    air = airport_months(spark, root).select(F.lit("airport_monthly").alias("table_name"), F.col("airport").alias("entity"), "p", "passengers")
-    car = carrier_months(spark, root).select(F.lit("carrier_monthly").alias("table_name"), F.concat_ws("|", "airline", "service_type").alias("entity"), "p", "passengers")
+    air = airport_months(spark, root, ("passengers",)).select(F.lit("airport_monthly").alias("table_name"), F.col("airport").alias("entity"), "p", "passengers")
+    car = carrier_months(spark, root, ("passengers",)).select(F.lit("carrier_monthly").alias("table_name"), F.concat_ws("|", "airline", "service_type").alias("entity"), "p", "passengers")
     out = trailing.trailing_totals(air.unionByName(car), ["table_name", "entity"], "p", "passengers", (3, 12))
     return out.select("table_name", "entity", *_year_month(), F.col("value").alias("passengers"), "total_3", "avg_3", "active_3", "total_12", "avg_12", "active_12")
 
@@ -107,8 +107,8 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _flags(spark: SparkSession, root: str) -> DataFrame:
-    air = airport_months(spark, root).select(F.lit("airport_monthly").alias("measure"), F.col("airport").alias("source"), F.col("p").alias("period"), F.col("passengers").cast("double").alias("value"))
-    car = carrier_months(spark, root).select(F.lit("carrier_monthly").alias("measure"), F.concat_ws("|", "airline", "service_type").alias("source"), F.col("p").alias("period"), F.col("passenger_load_factor").alias("value"))
+    air = airport_months(spark, root, ("passengers",)).select(F.lit("airport_monthly").alias("measure"), F.col("airport").alias("source"), F.col("p").alias("period"), F.col("passengers").cast("double").alias("value"))
+    car = carrier_months(spark, root, ("passenger_load_factor",)).select(F.lit("carrier_monthly").alias("measure"), F.concat_ws("|", "airline", "service_type").alias("source"), F.col("p").alias("period"), F.col("passenger_load_factor").alias("value"))
     return anomalies.flag_implausible(air.unionByName(car), {"airport_monthly": PASSENGERS, "carrier_monthly": LOAD_FACTOR})
 
 

@@ -76,12 +76,10 @@ def rows_that_count(df: DataFrame, key: list[str], values: list[str], order: str
     return picked.select(*key, *(F.col(f"__row.{v}").alias(v) for v in values))
 
 
-def airport_months(spark: SparkSession, root: str) -> DataFrame:
-    """airport_monthly in published form: (airport, p, passengers, departures, arrivals)."""
-    raw = read_table(spark, root, "airport_monthly").select(
-        keys.code("airport").alias("airport"), periods.month_ordinal("year", "month").alias("p"), "passengers", "departures", "arrivals", "loaded_at"
-    )
-    return rows_that_count(raw, ["airport", "p"], ["passengers", "departures", "arrivals"])
+def airport_months(spark: SparkSession, root: str, values: tuple[str, ...] = ("passengers", "departures", "arrivals")) -> DataFrame:
+    """airport_monthly in published form: (airport, p, ``values``); only these columns are read."""
+    raw = read_table(spark, root, "airport_monthly").select(keys.code("airport").alias("airport"), periods.month_ordinal("year", "month").alias("p"), *values, "loaded_at")
+    return rows_that_count(raw, ["airport", "p"], list(values))
 
 
 def airport_quarters(spark: SparkSession, root: str) -> DataFrame:
@@ -102,9 +100,9 @@ def route_months(spark: SparkSession, root: str) -> DataFrame:
     return rows_that_count(raw, ["origin", "destination", "p"], ["passengers"])
 
 
-def carrier_months(spark: SparkSession, root: str) -> DataFrame:
-    """carrier_monthly in published form: (airline, service_type, p, passengers, nine metrics)."""
+def carrier_months(spark: SparkSession, root: str, values: tuple[str, ...] = ("passengers", *CARRIER_METRICS)) -> DataFrame:
+    """carrier_monthly in published form: (airline, service_type, p, ``values``); only these columns are read."""
     raw = read_table(spark, root, "carrier_monthly").select(
-        F.trim("airline").alias("airline"), keys.service_type("service_type").alias("service_type"), periods.month_ordinal("year", "month").alias("p"), "passengers", *CARRIER_METRICS, "loaded_at"
+        F.trim("airline").alias("airline"), keys.service_type("service_type").alias("service_type"), periods.month_ordinal("year", "month").alias("p"), *values, "loaded_at"
     )
-    return rows_that_count(raw, ["airline", "service_type", "p"], ["passengers", *CARRIER_METRICS])
+    return rows_that_count(raw, ["airline", "service_type", "p"], list(values))
