@@ -84,7 +84,7 @@ def resolved_pairs(spark: SparkSession, root: str) -> DataFrame:
 
 @query(f"WITH {AIRPORT} SELECT airport, p, CAST(CASE WHEN count(passengers) OVER w = 12 THEN sum(passengers) OVER w END AS BIGINT) AS total FROM airport_m WINDOW w AS (PARTITION BY airport ORDER BY p RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)")
 def slice_airport_t12(spark, root):
-    return windows.gap_honest_trailing(airport_months(spark, root), "airport", "passengers", 12)
+    return windows.gap_honest_trailing(airport_months(spark, root, ("passengers",)), "airport", "passengers", 12)
 
 
 @query(f"WITH {RESOLVED}, {SIDES} SELECT airport, p, CAST(CASE WHEN count(passengers) OVER w = 12 THEN sum(passengers) OVER w END AS BIGINT) AS total FROM pm WINDOW w AS (PARTITION BY airport ORDER BY p RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)")
@@ -137,7 +137,7 @@ def jon06_resolve_or_raw(spark, root):
 
 @query(f"WITH {AIRPORT}, y AS (SELECT airport, p // 12 AS year, sum(passengers) AS annual FROM airport_m GROUP BY 1, 2) SELECT m.airport, m.p, m.passengers, CAST(y.annual AS BIGINT) AS annual FROM airport_m m LEFT JOIN y ON y.airport = m.airport AND y.year = m.p // 12")
 def jon07_month_with_year(spark, root):
-    m = airport_months(spark, root)
+    m = airport_months(spark, root, ("passengers",))
     return m.select("airport", "p", "passengers", F.sum("passengers").over(Window.partitionBy("airport", periods.ordinal_year("p"))).alias("annual"))
 
 
@@ -210,7 +210,7 @@ def agg05_quarterly_known(spark, root):
 SELECT p // 12 AS year, airport, CAST(coalesce(sum(passengers), 0) AS BIGINT) AS passengers, 'domestic' AS category FROM airport_m WHERE p // 12 IN (SELECT year FROM ym) GROUP BY 1, 2
 UNION ALL SELECT q // 4, airport, CAST(coalesce(sum(passengers), 0) AS BIGINT), 'international' FROM quarter_m WHERE q // 4 IN (SELECT year FROM yq) GROUP BY 1, 2""")
 def agg06_yearly(spark, root):
-    return canonical.yearly(airport_months(spark, root), airport_quarters(spark, root))
+    return canonical.yearly(airport_months(spark, root, ("passengers",)), airport_quarters(spark, root))
 
 
 _SUMS = ", ".join(f"CAST(coalesce(sum(CAST({m} AS DECIMAL(24, 3))), 0) AS DOUBLE) AS {m}" for m in CARRIER_METRICS if m not in FACTORS)
@@ -232,12 +232,12 @@ def agg08_unresolved(spark, root):
 
 @query(f"WITH {CARRIER} SELECT p, CAST(coalesce(sum(passengers), 0) AS BIGINT) AS passengers FROM carrier_m WHERE service_type = 'scheduled_domestic' GROUP BY p")
 def agg09_carried(spark, root):
-    return dashboard.carried(carrier_months(spark, root))
+    return dashboard.carried(carrier_months(spark, root, ("passengers",)))
 
 
 @query(f"WITH {AIRPORT}, {QUARTER} SELECT 'month' AS grain, p AS ordinal, CAST(coalesce(sum(passengers), 0) AS BIGINT) AS passengers FROM airport_m GROUP BY p UNION ALL SELECT 'quarter', q, CAST(coalesce(sum(passengers), 0) AS BIGINT) FROM quarter_m GROUP BY q")
 def agg10_throughput(spark, root):
-    a = dashboard.throughput(airport_months(spark, root)).select(F.lit("month").alias("grain"), F.col("p").alias("ordinal"), "passengers")
+    a = dashboard.throughput(airport_months(spark, root, ("passengers",))).select(F.lit("month").alias("grain"), F.col("p").alias("ordinal"), "passengers")
     b = dashboard.throughput(airport_quarters(spark, root), "q").select(F.lit("quarter").alias("grain"), F.col("q").alias("ordinal"), "passengers")
     return a.unionByName(b)
 
@@ -249,7 +249,7 @@ def agg11_matrix(spark, root):
 
 @query(f"WITH {AIRPORT}, f AS (SELECT airport FROM airport_m GROUP BY airport ORDER BY sum(passengers) DESC NULLS LAST, airport LIMIT 1) SELECT p, CAST(sum(passengers) AS BIGINT) AS passengers FROM airport_m WHERE airport IN (SELECT airport FROM f) GROUP BY p")
 def agg12_entity_series(spark, root):
-    m = airport_months(spark, root)
+    m = airport_months(spark, root, ("passengers",))
     return m.where(F.col("airport") == largest_airport(m)).groupBy("p").agg(F.sum("passengers").alias("passengers"))
 
 
@@ -269,7 +269,7 @@ FOCUS = "focus AS (SELECT airport AS focus FROM airport_m GROUP BY airport ORDER
 
 @query(f"WITH {AIRPORT} SELECT airport, CAST(sum(passengers) AS BIGINT) AS passengers FROM airport_m GROUP BY airport ORDER BY passengers DESC NULLS LAST, airport LIMIT 10")
 def agg13_top_entities(spark, root):
-    return airport_months(spark, root).groupBy("airport").agg(F.sum("passengers").alias("passengers")).orderBy(F.desc_nulls_last("passengers"), "airport").limit(10)
+    return airport_months(spark, root, ("passengers",)).groupBy("airport").agg(F.sum("passengers").alias("passengers")).orderBy(F.desc_nulls_last("passengers"), "airport").limit(10)
 
 
 @query(f"WITH {ROUTE} SELECT p // 12 AS year FROM route_m GROUP BY 1 HAVING count(DISTINCT p) = 12")
@@ -279,19 +279,19 @@ def agg14_complete_years(spark, root):
 
 @query(f"WITH {AIRPORT}, {ROUTE} SELECT (SELECT count(DISTINCT airport) FROM airport_m WHERE passengers > 0) AS active, (SELECT count(DISTINCT origin) FROM route_m) AS origins, (SELECT count(DISTINCT destination) FROM route_m) AS destinations")
 def agg15_distinct_counts(spark, root):
-    a = airport_months(spark, root).agg(F.countDistinct(F.when(F.col("passengers") > 0, F.col("airport"))).alias("active"))
+    a = airport_months(spark, root, ("passengers",)).agg(F.countDistinct(F.when(F.col("passengers") > 0, F.col("airport"))).alias("active"))
     r = route_months(spark, root)
     return a.join(r.agg(F.countDistinct("origin").alias("origins")), F.lit(True)).join(r.agg(F.countDistinct("destination").alias("destinations")), F.lit(True))
 
 
 @query(f"WITH {CARRIER} SELECT service_type, p // 12 AS year, median(passengers) AS median_passengers, CAST(count(*) AS BIGINT) AS n FROM carrier_m GROUP BY 1, 2")
 def agg17_medians(spark, root):
-    return carrier_months(spark, root).groupBy("service_type", periods.ordinal_year("p").alias("year")).agg(F.median("passengers").alias("median_passengers"), F.count(F.lit(1)).alias("n"))
+    return carrier_months(spark, root, ("passengers",)).groupBy("service_type", periods.ordinal_year("p").alias("year")).agg(F.median("passengers").alias("median_passengers"), F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {AIRPORT} SELECT airport, arg_max(p, passengers * 100000 - p) AS peak_p, max(passengers) AS peak, arg_min(p, passengers * 100000 + p) AS low_p FROM airport_m WHERE passengers IS NOT NULL GROUP BY airport")
 def agg18_extremes(spark, root):
-    m = airport_months(spark, root).where("passengers IS NOT NULL")
+    m = airport_months(spark, root, ("passengers",)).where("passengers IS NOT NULL")
     return m.groupBy("airport").agg(F.max_by("p", F.struct("passengers", -F.col("p"))).alias("peak_p"), F.max("passengers").alias("peak"), F.min_by("p", F.struct("passengers", "p")).alias("low_p"))
 
 
@@ -327,7 +327,7 @@ def dq10_undeclared_labels(spark, root):
 c AS (SELECT e.airport, d.p, coalesce(m.passengers, 0) AS v FROM e CROSS JOIN d LEFT JOIN airport_m m ON m.airport = e.airport AND m.p = d.p),
 t AS (SELECT airport, p, sum(v) OVER (PARTITION BY airport ORDER BY p RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS total FROM c) SELECT airport, p, CAST(total AS BIGINT) AS total FROM t WHERE p IN (SELECT p FROM w)""")
 def win_a_matrix(spark, root):
-    return windows.matrix_trailing(airport_months(spark, root), "airport", "passengers", 12)
+    return windows.matrix_trailing(airport_months(spark, root, ("passengers",)), "airport", "passengers", 12)
 
 
 _PULSE = f"""WITH {CARRIER}, s AS (SELECT p, coalesce(sum(passengers), 0) AS v FROM carrier_m WHERE service_type = 'scheduled_domestic' AND p <> {2021 * 12 + 2} GROUP BY p), c AS (SELECT CAST(unnest(generate_series(min(p), max(p))) AS INTEGER) AS p FROM s),
@@ -338,7 +338,7 @@ SELECT p, CAST(v AS BIGINT) AS value, CAST(total AS BIGINT) AS total, CAST(v AS
 
 @query(_PULSE)
 def win_c_national(spark, root):
-    s = dashboard.carried(carrier_months(spark, root)).where(F.col("p") != 2021 * 12 + 2)
+    s = dashboard.carried(carrier_months(spark, root, ("passengers",))).where(F.col("p") != 2021 * 12 + 2)
     return windows.national_trailing(s, "passengers", 12, KNOWN_ZERO)
 
 
@@ -349,22 +349,22 @@ def win_d_positional(spark, root):
 
 @query(f"WITH {AIRPORT} SELECT airport, p, CASE WHEN p - lag(p) OVER w = 1 THEN passengers - lag(passengers) OVER w END AS step FROM airport_m WINDOW w AS (PARTITION BY airport ORDER BY p)")
 def win_f_step(spark, root):
-    return windows.step_change(airport_months(spark, root), "airport", "passengers")
+    return windows.step_change(airport_months(spark, root, ("passengers",)), "airport", "passengers")
 
 
 @query(f"WITH {AIRPORT} SELECT airport, min(p) AS first_p FROM airport_m GROUP BY airport")
 def win_g_first_seen(spark, root):
-    return windows.first_seen(airport_months(spark, root), "airport")
+    return windows.first_seen(airport_months(spark, root, ("passengers",)), "airport")
 
 
 @query(f"WITH {AIRPORT}, s AS (SELECT p, coalesce(sum(passengers), 0) AS v FROM airport_m GROUP BY p ORDER BY p DESC LIMIT 37) SELECT p, CAST(v AS DOUBLE) / first_value(v) OVER (ORDER BY p) * 100 AS idx FROM s")
 def win_h_index(spark, root):
-    return windows.index_to_base(dashboard.throughput(airport_months(spark, root)), "passengers", 37)
+    return windows.index_to_base(dashboard.throughput(airport_months(spark, root, ("passengers",))), "passengers", 37)
 
 
 @query(f"WITH {CARRIER} SELECT airline, CAST(sum(passengers) AS BIGINT) AS n, CAST(row_number() OVER (ORDER BY sum(passengers) DESC NULLS LAST, airline) AS INTEGER) AS rank FROM carrier_m GROUP BY airline")
 def win_i_rank(spark, root):
-    s = carrier_months(spark, root).groupBy("airline").agg(F.sum("passengers").alias("n"))
+    s = carrier_months(spark, root, ("passengers",)).groupBy("airline").agg(F.sum("passengers").alias("n"))
     return windows.ranked(s, [F.desc_nulls_last("n")], "airline")
 
 
@@ -387,7 +387,7 @@ def win_k_share_windows(spark, root):
 
 @query(f"WITH {CARRIER} SELECT airline, service_type, p, passengers FROM carrier_m WHERE service_type NOT IN ('scheduled_domestic') OR service_type IS NULL")
 def flt02_not_in_keeps_null(spark, root):
-    c = carrier_months(spark, root)
+    c = carrier_months(spark, root, ("passengers",))
     return c.where(~F.col("service_type").isin("scheduled_domestic") | F.col("service_type").isNull()).select("airline", "service_type", "p", "passengers")
 
 
@@ -414,18 +414,18 @@ def prj04_undirected(spark, root):
 
 @query(f"WITH {AIRPORT}, {ROUTE} SELECT airport FROM (SELECT DISTINCT airport FROM airport_m) WHERE airport NOT IN (SELECT origin FROM route_m)")
 def set3_airports_without_routes(spark, root):
-    return airport_months(spark, root).select("airport").distinct().join(route_months(spark, root).select(F.col("origin").alias("airport")).distinct(), "airport", "left_anti")
+    return airport_months(spark, root, ("passengers",)).select("airport").distinct().join(route_months(spark, root).select(F.col("origin").alias("airport")).distinct(), "airport", "left_anti")
 
 
 @query(f"WITH {AIRPORT}, {CARRIER} SELECT DISTINCT p FROM airport_m INTERSECT SELECT DISTINCT p FROM carrier_m")
 def set4_common_periods(spark, root):
-    return airport_months(spark, root).select("p").intersect(carrier_months(spark, root).select("p"))
+    return airport_months(spark, root, ("passengers",)).select("p").intersect(carrier_months(spark, root, ("passengers",)).select("p"))
 
 
 @query(f"WITH {AIRPORT}, {ROUTE} SELECT airport FROM airport_m UNION SELECT origin FROM route_m UNION SELECT destination FROM route_m")
 def set5_all_codes(spark, root):
     r = route_months(spark, root)
-    return airport_months(spark, root).select("airport").union(r.select("origin")).union(r.select("destination")).distinct()
+    return airport_months(spark, root, ("passengers",)).select("airport").union(r.select("origin")).union(r.select("destination")).distinct()
 
 
 @query("SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS extra, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS involved FROM (SELECT count(*) AS n FROM airport_monthly GROUP BY year, month, airport)")
@@ -441,19 +441,19 @@ t12 AS (SELECT airport, p, CAST(total AS BIGINT) AS total FROM (SELECT airport,
 @query(f"""WITH {_T12}, o AS (SELECT p, row_number() OVER (ORDER BY p DESC) AS back FROM cal), r AS (SELECT t12.airport, o.back, t12.total, row_number() OVER (PARTITION BY t12.p ORDER BY total DESC, airport) AS place FROM t12 JOIN o USING (p) WHERE back IN (1, 13)),
 k AS (SELECT c.airport FROM (SELECT DISTINCT airport FROM r WHERE place <= 10) c JOIN (SELECT airport, total FROM r WHERE back = 1) n USING (airport) ORDER BY n.total DESC, c.airport LIMIT 12) SELECT airport, p, total FROM t12 WHERE airport IN (SELECT airport FROM k)""")
 def ana02_trailing_leaders(spark, root):
-    return dashboard.trailing_leaders(airport_months(spark, root))
+    return dashboard.trailing_leaders(airport_months(spark, root, ("passengers",)))
 
 
 @query(_PULSE.replace(f" AND p <> {2021 * 12 + 2}", ""))
 def ana01_demand_pulse(spark, root):
-    return dashboard.demand_pulse(carrier_months(spark, root), KNOWN_ZERO)
+    return dashboard.demand_pulse(carrier_months(spark, root, ("passengers",)), KNOWN_ZERO)
 
 
 @query(f"""WITH {AIRPORT}, k AS (SELECT * FROM airport_m WHERE passengers IS NOT NULL), f AS (SELECT airport, min(p) AS first_p FROM k GROUP BY airport HAVING min(p) >= (SELECT min(p) + 12 FROM airport_m)),
 r AS (SELECT k.airport, k.p - f.first_p AS month_index, k.passengers, sum(k.passengers) OVER w AS cumulative, max(k.passengers) OVER w AS peak, count(*) OVER w AS n FROM k JOIN f USING (airport) WHERE k.p < f.first_p + 24 WINDOW w AS (PARTITION BY k.airport))
 SELECT airport, month_index, passengers, CAST(cumulative AS BIGINT) AS cumulative, peak FROM r WHERE n >= 3 AND (cumulative >= 100000 OR peak >= 20000)""")
 def ana03_newcomer_ramps(spark, root):
-    return dashboard.newcomer_ramps(airport_months(spark, root))
+    return dashboard.newcomer_ramps(airport_months(spark, root, ("passengers",)))
 
 
 def _movers(cte: str, source: str, entity: str, ordinal: str, width: int, least: int, n: int) -> str:
@@ -466,7 +466,7 @@ SELECT e AS {entity}, CAST(latest AS BIGINT) AS latest, CAST(previous AS BIGINT)
 
 @query(_movers(AIRPORT, "airport_m", "airport", "p", 12, 100_000, 10))
 def ana04_share_movers(spark, root):
-    return dashboard.share_movers(airport_months(spark, root), "airport", "p", 12, 100_000, 10)
+    return dashboard.share_movers(airport_months(spark, root, ("passengers",)), "airport", "p", 12, 100_000, 10)
 
 
 @query(_movers(QUARTER, "quarter_m", "airport", "q", 4, 50_000, 8))
@@ -479,7 +479,7 @@ r AS (SELECT airport, p // 12 AS year, p % 12 + 1 AS month, passengers FROM airp
 i AS (SELECT airport, month, CAST(passengers AS DOUBLE) * 12 / nullif(CAST(sum(passengers) OVER (PARTITION BY airport, year) AS DOUBLE), 0) * 100 AS idx FROM r WHERE airport IN (SELECT airport FROM n) AND airport IN (SELECT airport FROM k))
 SELECT airport, CAST(month AS INTEGER) AS month, round(avg(idx), 6) AS idx FROM i GROUP BY airport, month""")
 def ana07_seasonality(spark, root):
-    return dashboard.seasonality(airport_months(spark, root))
+    return dashboard.seasonality(airport_months(spark, root, ("passengers",)))
 
 
 @query(f"""WITH {AIRPORT}, {QUARTER}, {CARRIER}, s AS (SELECT p, coalesce(sum(passengers), 0) AS v FROM carrier_m WHERE service_type = 'scheduled_domestic' GROUP BY p), c AS (SELECT CAST(unnest(generate_series(min(p), max(p))) AS INTEGER) AS p FROM s),
@@ -489,17 +489,17 @@ a AS (SELECT p, coalesce(sum(passengers), 0) AS n, count(DISTINCT airport) FILTE
 g AS (SELECT q, CASE WHEN count(*) OVER w = 4 THEN sum(v) OVER w END AS t4 FROM (SELECT q, coalesce(sum(passengers), 0) AS v FROM quarter_m GROUP BY q) WINDOW w AS (ORDER BY q ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) ORDER BY q DESC LIMIT 1)
 SELECT l.p AS latest_p, CAST(l.v AS BIGINT) AS carried, CAST(l.total AS BIGINT) AS carried_t12, CAST(CASE WHEN l.p = a.p THEN a.n END AS BIGINT) AS throughput, CASE WHEN l.p = a.p THEN a.active END AS active_airports, g.q AS latest_q, CAST(g.t4 AS BIGINT) AS gateway_t4 FROM l, a, g""")
 def ana08_kpis(spark, root):
-    return dashboard.kpis(airport_months(spark, root), airport_quarters(spark, root), carrier_months(spark, root), KNOWN_ZERO)
+    return dashboard.kpis(airport_months(spark, root, ("passengers",)), airport_quarters(spark, root), carrier_months(spark, root, ("passengers",)), KNOWN_ZERO)
 
 
 @query(f"WITH {_T12}, r AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY total DESC, airport) AS place, airport, total, sum(total) OVER (PARTITION BY p) AS everyone FROM t12) SELECT p, CAST(place AS INTEGER) AS place, airport, total, CAST(everyone AS BIGINT) AS everyone FROM r WHERE place <= 10")
 def ana09_race(spark, root):
-    return dashboard.race(airport_months(spark, root))
+    return dashboard.race(airport_months(spark, root, ("passengers",)))
 
 
 @query(f"WITH {AIRPORT}, {QUARTER}, x AS (SELECT min(p) AS a, max(p) AS b FROM airport_m), y AS (SELECT min(q) AS a, max(q) AS b FROM quarter_m) SELECT 'month' AS layer, strftime(make_date(a // 12, a % 12 + 1, 1), '%b %Y') || '..' || strftime(make_date(b // 12, b % 12 + 1, 1), '%b %Y') AS coverage FROM x UNION ALL SELECT 'quarter', (a // 4) || 'Q' || (a % 4 + 1) || '..' || (b // 4) || 'Q' || (b % 4 + 1) FROM y")
 def ana10_coverage(spark, root):
-    a = airport_months(spark, root).agg(F.min("p").alias("a"), F.max("p").alias("b")).select(F.lit("month").alias("layer"), F.concat(periods.month_label("a"), F.lit(".."), periods.month_label("b")).alias("coverage"))
+    a = airport_months(spark, root, ("passengers",)).agg(F.min("p").alias("a"), F.max("p").alias("b")).select(F.lit("month").alias("layer"), F.concat(periods.month_label("a"), F.lit(".."), periods.month_label("b")).alias("coverage"))
     b = airport_quarters(spark, root).agg(F.min("q").alias("a"), F.max("q").alias("b")).select(F.lit("quarter").alias("layer"), F.concat(periods.quarter_label("a"), F.lit(".."), periods.quarter_label("b")).alias("coverage"))
     return a.unionByName(b)
 
@@ -513,7 +513,7 @@ t AS (SELECT p, CASE WHEN count(v) OVER w = 12 THEN sum(v) OVER w END AS total F
 h AS (SELECT max(p) AS hi, CAST(least(10, (count(*) - 1) // 12) AS INTEGER) AS years FROM k), x AS (SELECT h.*, a.total AS latest, b.total AS year_ago, d.total AS base FROM h LEFT JOIN k a ON a.p = hi LEFT JOIN k b ON b.p = hi - 12 LEFT JOIN k d ON d.p = hi - 12 * years WHERE years >= 1)
 SELECT hi, years, CAST(latest AS BIGINT) AS latest, CAST(year_ago AS BIGINT) AS year_ago, CAST(base AS BIGINT) AS base, round(CAST(latest AS DOUBLE) / nullif(CAST(year_ago AS DOUBLE), 0) - 1, 6) AS yoy, round(pow(CAST(latest AS DOUBLE) / nullif(CAST(base AS DOUBLE), 0), 1.0 / years) - 1, 6) AS rate FROM x""")
 def noi01_growth_rate(spark, root):
-    return focus.growth_rate(dashboard.demand_pulse(carrier_months(spark, root), KNOWN_ZERO), "total")
+    return focus.growth_rate(dashboard.demand_pulse(carrier_months(spark, root, ("passengers",)), KNOWN_ZERO), "total")
 
 
 @query(f"""WITH {CARRIER}, m AS (SELECT p, sum(passengers) AS passengers, sum(CAST(seat_km AS DECIMAL(24, 3))) AS seat_km, sum(CAST(passenger_km AS DECIMAL(24, 3))) AS passenger_km FROM carrier_m WHERE service_type = 'scheduled_domestic' GROUP BY p),
@@ -527,7 +527,7 @@ def noi02_supply_demand(spark, root):
 @query(f"""WITH {CARRIER}, y AS (SELECT p // 12 AS year FROM carrier_m GROUP BY 1 HAVING count(DISTINCT p) = 12), r AS (SELECT p // 12 AS year, CASE lower(substr(airline, 1, 1)) WHEN 'a' THEN 'first' WHEN 'b' THEN 'first' WHEN 'c' THEN 'second' ELSE 'other' END AS grp, passengers FROM carrier_m WHERE p // 12 IN (SELECT year FROM y)),
 s AS (SELECT year, grp, coalesce(sum(passengers), 0) AS n FROM r GROUP BY 1, 2) SELECT year, grp, CAST(n AS BIGINT) AS passengers, round(CAST(n AS DOUBLE) / nullif(CAST(sum(n) OVER (PARTITION BY year) AS DOUBLE), 0), 9) AS share FROM s""")
 def noi03_group_shares(spark, root):
-    c = carrier_months(spark, root)
+    c = carrier_months(spark, root, ("passengers",))
     initial = F.lower(F.substring("airline", 1, 1))
     members = c.select("airline").distinct().select(F.upper("airline").alias("airline"), F.when(initial.isin("a", "b"), "first").when(initial == "c", "second").alias("grp")).where("grp IS NOT NULL")
     return focus.group_shares(c, "airline", members, canonical.complete_years(c, "p", 12))
@@ -536,7 +536,7 @@ def noi03_group_shares(spark, root):
 @query(f"""WITH {_T12}, {FOCUS}, s AS (SELECT p, sum(total) FILTER (WHERE airport = focus) AS f, sum(total) FILTER (WHERE airport <> focus) AS r FROM t12, focus GROUP BY p), l AS (SELECT * FROM s WHERE f > 0 AND r > 0 ORDER BY p DESC LIMIT 61)
 SELECT p, CAST(f AS BIGINT) AS focus, CAST(r AS BIGINT) AS rest, round(CAST(f AS DOUBLE) / CAST(first_value(f) OVER o AS DOUBLE) * 100, 6) AS idx_focus, round(CAST(r AS DOUBLE) / CAST(first_value(r) OVER o AS DOUBLE) * 100, 6) AS idx_rest FROM l WINDOW o AS (ORDER BY p)""")
 def noi06_focus_vs_rest(spark, root):
-    m = airport_months(spark, root)
+    m = airport_months(spark, root, ("passengers",))
     return focus.focus_vs_rest(m, largest_airport(m))
 
 
@@ -555,12 +555,12 @@ s AS (SELECT airport, CAST(month AS INTEGER) AS month, round(median(CAST(passeng
 
 @query(f"{_SEASON} SELECT airport, month, idx, years FROM s")
 def noi08_median_season(spark, root):
-    return focus.median_season(airport_months(spark, root))
+    return focus.median_season(airport_months(spark, root, ("passengers",)))
 
 
 @query(f"{_SEASON} SELECT airport, first(month ORDER BY idx DESC, month) AS peak_month, max(idx) AS peak FROM s GROUP BY airport")
 def noi08_peak_month(spark, root):
-    return focus.peak_month(focus.median_season(airport_months(spark, root)))
+    return focus.peak_month(focus.median_season(airport_months(spark, root, ("passengers",))))
 
 
 _CATCH = ["A", "B", "C", "D"]
@@ -570,7 +570,7 @@ _CATCH = ["A", "B", "C", "D"]
 x AS (SELECT p, count(*) AS n, sum(total) AS total, string_agg(airport, ',' ORDER BY airport) AS who FROM t WHERE total IS NOT NULL GROUP BY p), a AS (SELECT * FROM x WHERE p > (SELECT max(p) - 12 FROM x) ORDER BY n DESC, p DESC LIMIT 1)
 SELECT a.p, a.n, CAST(a.total AS BIGINT) AS total, CASE WHEN a.who = b.who THEN round(CAST(a.total AS DOUBLE) / nullif(CAST(b.total AS DOUBLE), 0) - 1, 9) END AS growth FROM a LEFT JOIN x b ON b.p = a.p - 36""")
 def noi09_catchment(spark, root):
-    m = airport_months(spark, root)
+    m = airport_months(spark, root, ("passengers",))
     return focus.catchment(m, m.select("airport").where(F.substring("airport", 1, 1).isin(_CATCH)))
 
 
@@ -591,7 +591,7 @@ def noi11_hub_markets(spark, root):
 
 @query(f"WITH {AIRPORT}, f AS (SELECT airport, min(p) AS first_p FROM airport_m WHERE passengers IS NOT NULL GROUP BY airport), s AS (SELECT airport, first_p, CAST(unnest(generate_series(first_p, first_p + 23)) AS INTEGER) AS p FROM f) SELECT s.airport, s.p - first_p AS month_index, m.passengers FROM s LEFT JOIN airport_m m ON m.airport = s.airport AND m.p = s.p")
 def noi12_ramp_series(spark, root):
-    return focus.ramp_series(airport_months(spark, root))
+    return focus.ramp_series(airport_months(spark, root, ("passengers",)))
 
 
 _TWO = "two AS (SELECT min(airport) FILTER (WHERE k = 1) AS x, min(airport) FILTER (WHERE k = 2) AS y FROM (SELECT airport, row_number() OVER (ORDER BY sum(passengers) DESC NULLS LAST, airport) AS k FROM airport_m GROUP BY airport))"
@@ -604,7 +604,7 @@ def two_largest(m: DataFrame) -> list[str]:
 @query(f"""WITH {AIRPORT}, {_TWO}, s AS (SELECT p, sum(passengers) FILTER (WHERE airport = x) AS a, sum(passengers) FILTER (WHERE airport = y) AS b FROM airport_m, two WHERE passengers IS NOT NULL GROUP BY p), k AS (SELECT p, a, b, CAST(a AS DOUBLE) / nullif(CAST(a + b AS DOUBLE), 0) AS share FROM s WHERE a IS NOT NULL AND b IS NOT NULL)
 SELECT p, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, round(share, 9) AS share, round(CASE WHEN p - lag(p) OVER o = 1 THEN share - lag(share) OVER o END, 9) AS step FROM k WINDOW o AS (ORDER BY p)""")
 def noi13_two_entity_share(spark, root):
-    m = airport_months(spark, root)
+    m = airport_months(spark, root, ("passengers",))
     return focus.two_entity_share(m, *two_largest(m))
 
 
@@ -613,7 +613,7 @@ c AS (SELECT airport, max(passengers) FILTER (WHERE k <= 12) AS ceiling, count(*
 b AS (SELECT c.*, min(k.p) FILTER (WHERE k.passengers >= c.ceiling * 4) AS breakout_p, max(k.passengers) AS peak FROM c JOIN k USING (airport) WHERE k.k > 12 AND c.ceiling > 0 GROUP BY ALL)
 SELECT airport, ceiling, breakout_p, CAST((breakout_p - first_p) // 12 AS INTEGER) AS quiet_years, peak, latest < peak * CAST(0.6 AS DOUBLE) AS receded FROM b WHERE breakout_p IS NOT NULL AND (breakout_p - first_p) // 12 >= 2""")
 def noi15_breakouts(spark, root):
-    return focus.breakouts(airport_months(spark, root))
+    return focus.breakouts(airport_months(spark, root, ("passengers",)))
 
 
 @query(f"""WITH {ROUTE}, {HUB}, r AS (SELECT route_m.*, hub FROM route_m, hub WHERE p > (SELECT max(p) - 12 FROM route_m)), e AS (SELECT airport, sum(n) AS volume FROM (SELECT origin AS airport, passengers AS n FROM r UNION ALL SELECT destination, passengers FROM r) GROUP BY airport HAVING sum(n) >= 100000),
@@ -678,7 +678,7 @@ def dq05_carrier(spark, root):
 @query(f"""WITH {AIRPORT}, {CARRIER}, t AS (SELECT p, sum(passengers) AS t FROM airport_m GROUP BY p), c AS (SELECT p, coalesce(sum(passengers), 0) AS c FROM carrier_m WHERE service_type = 'scheduled_domestic' GROUP BY p), j AS (SELECT p, t, c, CAST(t AS DOUBLE) / nullif(CAST(c AS DOUBLE), 0) AS ratio FROM t JOIN c USING (p))
 SELECT p, CAST(t AS BIGINT) AS throughput, CAST(c AS BIGINT) AS carried, ratio, coalesce(ratio > 1.8 AND ratio < 2.2, t = 0) AS in_band FROM j""")
 def dq06_semantics(spark, root):
-    return checks.throughput_ratio(airport_months(spark, root), dashboard.carried(carrier_months(spark, root)))
+    return checks.throughput_ratio(airport_months(spark, root, ("passengers",)), dashboard.carried(carrier_months(spark, root, ("passengers",))))
 
 
 @query(f"WITH {QUARTER}, h AS (SELECT q FROM quarter_m WHERE airport IN (SELECT airport FROM quarter_m GROUP BY airport ORDER BY count(*), airport LIMIT 1)), c AS (SELECT CAST(unnest(generate_series(min(q), max(q))) AS INTEGER) AS p FROM h) SELECT p FROM c WHERE p NOT IN (SELECT q FROM h)")
@@ -702,7 +702,7 @@ def dq09_containment(spark, root):
 
 @query(f"WITH {AIRPORT}, {ROUTE} SELECT DISTINCT airport FROM (SELECT origin AS airport FROM route_m UNION SELECT destination FROM route_m) WHERE airport NOT IN (SELECT airport FROM airport_m)")
 def dq09_unknown_endpoints(spark, root):
-    return checks.unknown_endpoints(route_months(spark, root), airport_months(spark, root).select("airport").distinct())
+    return checks.unknown_endpoints(route_months(spark, root), airport_months(spark, root, ("passengers",)).select("airport").distinct())
 
 
 @query(f"""WITH {ROUTE}, h AS (SELECT max(p) AS hi FROM route_m), r AS (SELECT route_m.*, hi FROM route_m, h WHERE p >= hi - 12), s AS (SELECT p, hi, count(*) AS n FROM r GROUP BY 1, 2), j AS (SELECT max(n) FILTER (WHERE p = hi) >= 0.7 * median(n) FILTER (WHERE p < hi) AS ok FROM s),
@@ -765,13 +765,13 @@ def str14_stable_bucket(spark, root):
 
 @query(f"WITH {AIRPORT}, s AS (SELECT airport, max(passengers) AS v FROM airport_m GROUP BY airport), x AS (SELECT airport, v, pow(10.0, floor(log10(v))) AS k FROM s WHERE v > 0) SELECT airport, v, CASE WHEN v <= k THEN k WHEN v <= 1.25 * k THEN 1.25 * k WHEN v <= 1.5 * k THEN 1.5 * k WHEN v <= 2 * k THEN 2 * k WHEN v <= 2.5 * k THEN 2.5 * k WHEN v <= 5 * k THEN 5 * k WHEN v <= 7.5 * k THEN 7.5 * k ELSE 10 * k END AS bound FROM x")
 def str18_upper_bound(spark, root):
-    s = airport_months(spark, root).groupBy("airport").agg(F.max("passengers").alias("v")).where("v > 0")
+    s = airport_months(spark, root, ("passengers",)).groupBy("airport").agg(F.max("passengers").alias("v")).where("v > 0")
     return s.select("airport", "v", text.upper_bound("v").alias("bound"))
 
 
 @query(f"WITH {AIRPORT} SELECT DISTINCT p, strftime(make_date(p // 12, p % 12 + 1, 1), '%b %Y') AS label FROM airport_m")
 def str21_period_label(spark, root):
-    return airport_months(spark, root).select("p").distinct().select("p", periods.month_label("p").alias("label"))
+    return airport_months(spark, root, ("passengers",)).select("p").distinct().select("p", periods.month_label("p").alias("label"))
 
 
 @query(f"WITH {AIRPORT}, {ROUTE} SELECT r.origin, least(r.origin, r.destination) AS a, greatest(r.origin, r.destination) AS b, r.p, r.passengers FROM route_m r")
