@@ -72,7 +72,9 @@ _STREET_WORD = re.compile(_STREET[:-3])
 _ID_NEEDLES = ("national id", "identity", "id card", "id num", "id no", "resident", "social", "insurance", "ssn", "tax ", "passport", "travel doc", "licen")
 _DIGITS = re.compile(r"\d[\d .()/-]{6,}\d")
 
-_CAP = r"[^\W\d_a-zà-öø-ÿ][\w'’]*(?:-[\w'’]+)*"
+# a possessive ending is no part of a word
+_REST = r"\w*(?:['’](?!s\b)\w+)*"
+_CAP = rf"[^\W\d_a-zà-öø-ÿ]{_REST}(?:-\w{_REST})*"
 _PARTICLE = "(?:van|von|de|der|den|del|da|di|la|bin|VAN|VON|DE|DER|DEN|DEL|DA|DI|LA|BIN)"
 _PARTICLES = frozenset("van von de der den del da di la bin al el".split())
 _SURNAME = rf"(?:{_PARTICLE} ){{0,2}}(?:al-|el-)?{_CAP}"

@@ -32,7 +32,7 @@ CASES = [
     ("tel:+14155550152 ext. 23 or (01632) 960483, 07700 900982, 0044-20-7946-0529, 617.555.0181 and 202-555-0100.", {("phone", "+14155550152"), ("phone", "(01632) 960483"), ("phone", "07700 900982"), ("phone", "0044-20-7946-0529"), ("phone", "617.555.0181"), ("phone", "202-555-0100")}),
     ("I quoted my passport no.: Z0 191615 and social insurance # 000-61-2659 and tax id = BDXXQ3305W, licence no. NX-39-2052-0095994.", {("id_number", "Z0 191615"), ("id_number", "000-61-2659"), ("id_number", "BDXXQ3305W"), ("id_number", "NX-39-2052-0095994")}),
     ("Send it to Flat 29A, 137 Station Crescent, Garowby Point. Or 106b Coppersmith St\nTamanton Point 34483. Or No. 290, 5th Main, New Ravuholm - 53338, not here.", {("address", "Flat 29A, 137 Station Crescent, Garowby Point"), ("address", "106b Coppersmith St\nTamanton Point 34483"), ("address", "No. 290, 5th Main, New Ravuholm - 53338")}),
-    ("It was Edwin Tindall who noticed, and ROTHWELL, Hedda who did not; H. Marlowe and Goran J. van Oxbourne came later.", {("name", "Edwin Tindall"), ("name", "ROTHWELL, Hedda"), ("name", "H. Marlowe"), ("name", "Goran J. van Oxbourne")}),
+    ("It was Edwin Tindall who noticed, and ROTHWELL, Hedda who did not; H. Marlowe and Goran J. van Oxbourne came later. That was Farah Tindall's bag, Delia O’Brannigan’s word.", {("name", "Farah Tindall"), ("name", "Delia O’Brannigan"), ("name", "Edwin Tindall"), ("name", "ROTHWELL, Hedda"), ("name", "H. Marlowe"), ("name", "Goran J. van Oxbourne")}),
     ("1186 1744 5723 / Delia O'Brannigan / House 33, Weaver's Cross, Corumere 52619", {("id_number", "1186 1744 5723"), ("name", "Delia O'Brannigan"), ("address", "House 33, Weaver's Cross, Corumere 52619")}),
     ("The Edwin Tindall Terminal at Port Lune took 3 percent; the Cosmo Rothwell Hall too. @slotdesk wrote. Run 5926 5008 8035 gave little. Part 896-28-8400 was short. The totals 731-487-4954 are seats. See carrier_001_2020_01.xlsx, stand 30, Port Lune.", set()),
     (None, set()), ("", set()),
