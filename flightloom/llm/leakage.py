@@ -3,11 +3,12 @@
 Pigeonhole edit matching: if a passage of ``WINDOW`` words carries at most ``BUDGET`` wrong
 words, then of the ``BUDGET + 1`` pieces into which the window can be cut one is
 intact.  The pieces of all windows of an item are its runs of ``PIECE`` words, so the intact
-ones are found by exact search.  As runs overlap, a wrong word breaks at most ``PIECE`` of them, and
-``WINDOW - PIECE + 1 - PIECE * BUDGET`` of a window stay intact; that many less one must be
-found on one diagonal (one, as a run of common words is only sought together with the words
-after it).  There Myers' bit-parallel distance compares the item with the document, and
-what passes is aligned exactly, word by word.
+ones are found by exact search.  The right words of a window stand in at most ``BUDGET + 1``
+runs; if all but one of these are too short for a piece, the last one has
+``WINDOW - BUDGET - (PIECE - 1) * BUDGET`` words, and two that are long enough have as many.  So hits on one
+diagonal that cover fewer words of the item, less one for runs of common words that are
+only sought together with the words after them, are no candidates.  At the others Myers' bit-parallel distance compares
+the item with the document, and what passes is aligned exactly, word by word.
 
 All comparisons are made on squashed text: compatibility forms folded, case and accents
 dropped, and only letters and digits kept, so that spacing and punctuation, also within
@@ -31,17 +32,17 @@ from pyspark.sql import functions as F
 
 WINDOW, BUDGET = 15, 3
 PIECE = WINDOW // (BUDGET + 1)
-LEAST_HITS = WINDOW - PIECE + 1 - PIECE * BUDGET - 1
+LEAST_COVER = WINDOW - BUDGET - (PIECE - 1) * BUDGET - 1
 #: Characters by which hits of one passage may be shifted against each other.
 SHIFT = 24
 #: A piece found in more items than this says little; it grows by further words until it is rarer.
 COMMON, LONGEST_PIECE = 5, 6
 #: Characters compared at a time, and the share of them that may differ.
 BITS, DISTANCE = 64, 0.40
-#: What makes an aligned stretch a passage: item words it spans, weight of its matched
-#: words, and their share of the weight of all words spanned.  A passage of ``WINDOW`` words
-#: may have a wrong word at one end, which the alignment cannot claim.
-LEAST_WORDS, LEAST_WEIGHT, LEAST_SHARE = 14, 22.0, 0.78
+#: What makes an aligned stretch a passage: its right words (or one less if it spans more words),
+#: their weight less the penalty of the wrong ones, and their share of the weight of all.  A passage of ``WINDOW`` words
+#: may have a wrong word at an end or next to it, which the alignment cannot claim.
+LEAST_WORDS, LEAST_WEIGHT, LEAST_SHARE = 13, 20.0, 0.78
 #: Penalty of a wrong word against the weight of a right one.
 PENALTY = 1.3
 #: Bytes of item text that one pass over the documents holds.
@@ -81,7 +82,8 @@ class Index:
     """Items of one pass, with the automaton of their pieces."""
 
     items: dict[int, Item]
-    pieces: dict[str, list[tuple[int, int]]]
+    #: where each piece stands: item, first word, number of words
+    pieces: dict[str, list[tuple[int, int, int]]]
 
     def automaton(self) -> "ahocorasick.Automaton":
         if not hasattr(self, "_automaton"):
@@ -115,14 +117,14 @@ def build_index(rows: list[tuple[int, str]], frequency: Counter | None = None, t
         for i in items.values():
             count.update({"".join(i.words[k : k + n]) for k in range(len(i.words) - n + 1)})
         found.append(count)
-    pieces: dict[str, list[tuple[int, int]]] = {}
+    pieces: dict[str, list[tuple[int, int, int]]] = {}
     for item_id, i in items.items():
         i.weights = [math.log((total + 1) / max(frequency[w], 1)) + 0.3 for w in i.words]
         for k in range(len(i.words) - PIECE + 1):
             for n in range(PIECE, LONGEST_PIECE + 1):
                 p = "".join(i.words[k : k + n])
                 if k + n <= len(i.words) and (found[n - PIECE][p] <= COMMON or n == LONGEST_PIECE):
-                    pieces.setdefault(p, []).append((item_id, k))
+                    pieces.setdefault(p, []).append((item_id, k, n))
                     break
     return Index(items, pieces)
 
@@ -210,8 +212,11 @@ def _extend(words: list[str], k: int, text: str, at: int) -> list[int]:
     return out
 
 
-def passage(item: Item, k: int, size: int, text: str, at: int) -> tuple[int, float, float]:
-    """Best stretch of the item around its words ``k`` to ``k + size`` found at ``at``: words, weight, share."""
+def passage(item: Item, k: int, size: int, text: str, at: int) -> tuple[int, int, float, float]:
+    """Best stretch of the item around its words ``k`` to ``k + size`` found at ``at``: words, right words, weight, share.
+
+    ``weight`` is that of the right words less ``PENALTY`` times that of the wrong ones.
+    """
     end = at + sum(map(len, item.words[k : k + size]))
     right = _extend(item.words, k + size, text, end)
     left_words = [w[::-1] for w in reversed(item.words[:k])]
@@ -226,15 +231,26 @@ def passage(item: Item, k: int, size: int, text: str, at: int) -> tuple[int, flo
         run += w if s else -PENALTY * w
         if run > best:
             best, top = run, (first, j + 1)
-    matched = sum(w for s, w in zip(states[top[0] : top[1]], weights[top[0] : top[1]]) if s)
-    whole = sum(weights[top[0] : top[1]])
-    return top[1] - top[0], best, matched / whole if whole else 0.0
+    # a wrong word near an end may weigh more than what lies beyond it; the stretch is taken as
+    # far as the right words keep their share
+    right_of = np.concatenate([[0.0], np.cumsum([w if s else 0.0 for s, w in zip(states, weights)])])
+    all_of = np.concatenate([[0.0], np.cumsum(weights)])
+    share = lambda a, b: (right_of[b] - right_of[a]) / (all_of[b] - all_of[a])
+    low, high = top
+    if best > 0:
+        firsts = [j for j in range(low + 1) if states[j]]
+        lasts = [j + 1 for j in range(high - 1, len(states)) if states[j]]
+        wide = max(((b - a, a, b) for a in firsts for b in lasts if share(a, b) >= LEAST_SHARE), default=None)
+        if wide:
+            _, low, high = wide
+    matched, whole = right_of[high] - right_of[low], all_of[high] - all_of[low]
+    return high - low, sum(states[low:high]), float(matched - PENALTY * (whole - matched)), float(matched / whole) if whole else 0.0
 
 
 def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]:
     """(position of the text, item) of every text that carries a passage of an item."""
     automaton = index.automaton()
-    candidates: list[tuple[int, int, int, int, str, int]] = []
+    candidates: list[tuple[int, int, int, int, int, str]] = []
     if not index.pieces:
         return
     for row, raw in enumerate(texts):
@@ -244,18 +260,22 @@ def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]
         hits: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         for last, piece in automaton.iter(text):
             at = last - len(piece) + 1
-            for item_id, k in index.pieces[piece]:
-                hits.setdefault((item_id, (at - index.items[item_id].starts[k]) // SHIFT), []).append((k, at, len(piece)))
+            for item_id, k, n in index.pieces[piece]:
+                hits.setdefault((item_id, (at - index.items[item_id].starts[k]) // SHIFT), []).append((k, n, at))
         for (item_id, diagonal), own in hits.items():
-            if len(own) + len(hits.get((item_id, diagonal + 1), ())) >= LEAST_HITS:
-                k, at, size = own[len(own) // 2]
-                candidates.append((row, item_id, k, at, text, size))
+            near = hits.get((item_id, diagonal + 1), ())
+            if len(own) + len(near) < 2:
+                continue
+            covered = {w for k, n, _ in (*own, *near) for w in range(k, k + n)}
+            if len(covered) >= LEAST_COVER:
+                k, n, at = own[len(own) // 2]
+                candidates.append((row, item_id, k, n, at, text))
     if not candidates:
         return
     patterns, regions = [], []
-    for _, item_id, k, at, text, size in candidates:
+    for _, item_id, k, n, at, text in candidates:
         item = index.items[item_id]
-        start = item.starts[k]
+        start, size = item.starts[k], sum(map(len, item.words[k : k + n]))
         for low in (start, start + size // 2 - BITS // 2, start + size - BITS):
             low = max(0, min(low, len(item.text) - BITS))
             patterns.append(item.text[low : low + BITS])
@@ -264,16 +284,11 @@ def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]
     distance = myers(patterns, regions) / np.maximum([len(p) for p in patterns], 1)
     passed = distance.reshape(-1, 3).min(axis=1) <= DISTANCE
     done: set[tuple[int, int]] = set()
-    for ok, (row, item_id, k, at, text, size) in zip(passed, candidates):
+    for ok, (row, item_id, k, n, at, text) in zip(passed, candidates):
         if not ok or (row, item_id) in done:
             continue
-        item = index.items[item_id]
-        n, length = 0, 0
-        while length < size:
-            length += len(item.words[k + n])
-            n += 1
-        words, weight, share = passage(item, k, n, text, at)
-        if words >= LEAST_WORDS and weight >= LEAST_WEIGHT and share >= LEAST_SHARE:
+        words, right, weight, share = passage(index.items[item_id], k, n, text, at)
+        if (right >= LEAST_WORDS or right == LEAST_WORDS - 1 and words > LEAST_WORDS) and weight >= LEAST_WEIGHT and share >= LEAST_SHARE:
             done.add((row, item_id))
             yield row, item_id
 
