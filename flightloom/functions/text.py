@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Month names and abbreviations, with the misspellings that occur.
 MONTHS = {
-    "JANUARY": 1, "JAN": 1, "FEBRUARY": 2, "FEB": 2, "FEBUARY": 2, "MARCH": 3, "MAR": 3, "APRIL": 4, "APR": 4, "MAY": 5, "JUNE": 6, "JUN": 6,
+    "JANUARY": 1, "JAN": 1, "FEBRUARY": 2, "FEB": 2, "FEBURUARY": 2, "MARCH": 3, "MAR": 3, "APRIL": 4, "APR": 4, "MAY": 5, "JUNE": 6, "JUN": 6,
     "JULY": 7, "JUL": 7, "AUGUST": 8, "AUG": 8, "SEPTEMBER": 9, "SEP": 9, "SEPT": 9, "OCTOBER": 10, "OCT": 10, "NOVEMBER": 11, "NOV": 11, "DECEMBER": 12, "DEC": 12,
 }
 
@@ -21,9 +21,13 @@ def clean_text(x: Column | str) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(col(x), r"\s+", " ")), F.lit(""))
 
 
+#: Fixed value: a misspelling in headers, and what it stands for.
+HEADER_TYPO = ("PASSENEGER", "PASSENGER")
+
+
 def clean_key(x: Column | str) -> Column:
-    """Upper case, everything but letters and digits one blank."""
-    return F.trim(F.regexp_replace(F.upper(clean_text(x)), r"[^A-Z0-9]+", " "))
+    """Upper case, everything but letters and digits one blank, the known misspelling mended."""
+    return F.replace(F.trim(F.regexp_replace(F.upper(clean_text(x)), r"[^A-Z0-9]+", " ")), *map(F.lit, HEADER_TYPO))
 
 
 def label_form(x: Column | str) -> Column:
@@ -65,11 +69,15 @@ def stem_year(x: Column | str) -> Column:
     return F.when(found != "", found.try_cast("int") + 2000)
 
 
-def name_month(x: Column | str) -> Column:
-    """Month named in a file name, the longest name first; split ``APR IL`` is mended."""
-    text = F.regexp_replace(clean_key(x), r"\bAPR IL\b", "APRIL")
+def name_period(x: Column | str) -> Column:
+    """Month and year named in a file name, the longest month name first; split ``APR IL`` is mended.
+
+    Struct of year and month; null unless a month is followed by a year of this century.
+    """
+    text = F.regexp_replace(F.regexp_replace(F.upper(col(x)), "%20", " "), r"\bAPR\s+IL\b", "APRIL")
     names = "|".join(sorted(MONTHS, key=lambda m: (-len(m), m)))
-    return month_number(F.regexp_extract(text, rf"\b({names})\b", 1))
+    part = lambda k: F.regexp_extract(text, rf"\b({names})\b\s*,?\s*(20\d{{2}})", k)
+    return F.when(part(1) != "", F.struct(part(2).try_cast("int").alias("year"), month_number(part(1)).alias("month")))
 
 
 def quarter_file(x: Column | str) -> Column:
@@ -81,7 +89,7 @@ def quarter_file(x: Column | str) -> Column:
 def service_of_text(x: Column | str) -> Column:
     """Service type named by the key words of a section header; null if it names none."""
     t = clean_key(x)
-    side = F.when(t.contains("INTERNATIONAL"), "international").when(t.contains("DOMESTIC"), "domestic")
+    side = F.when(t.contains("DOMESTIC"), "domestic").when(t.contains("INTERNATIONAL"), "international")
     return F.when(t.contains("SERVICE") & side.isNotNull(), F.concat(F.when(t.contains("NON"), "nonscheduled_").otherwise("scheduled_"), side))
 
 

@@ -46,27 +46,35 @@ def newcomer_ramps(monthly: DataFrame, months: int = 24, observed: int = 3, cumu
 
 
 def share_movers(df: DataFrame, entity: str, ordinal: str, width: int, least: int, n: int) -> DataFrame:
-    """Largest winners and losers of share between the latest ``width`` periods and those before."""
+    """Largest winners and losers of share, in points, between the latest ``width`` periods and those before.
+
+    Nothing if one of these periods is missing; an airport that is both counts as a loser.
+    """
     base = df.select(entity, F.col(ordinal).alias("p"), "passengers")
     last = base.agg(F.max("p").alias("hi"))
     side = base.join(F.broadcast(last), (F.col("p") > F.col("hi") - 2 * width) & (F.col("p") <= F.col("hi")))
+    whole = side.agg(F.countDistinct("p").alias("n")).where(F.col("n") == 2 * width)
+    side = side.join(F.broadcast(whole), F.lit(True)).drop("n")
     recent = F.col("p") > F.col("hi") - width
     sums = side.groupBy(entity).agg(F.coalesce(F.sum(F.when(recent, F.col("passengers"))), F.lit(0)).alias("latest"), F.coalesce(F.sum(F.when(~recent, F.col("passengers"))), F.lit(0)).alias("previous"))
     totals = sums.agg(F.sum("latest").alias("tl"), F.sum("previous").alias("tp"))
     share = sums.join(F.broadcast(totals), F.lit(True)).where((F.col("latest") >= least) | (F.col("previous") >= least))
-    moved = share.select(entity, "latest", "previous", (F.try_divide(F.col("latest").cast("double"), F.col("tl").cast("double")) - F.try_divide(F.col("previous").cast("double"), F.col("tp").cast("double"))).alias("delta"))
+    moved = share.select(entity, "latest", "previous", (100 * F.try_divide(F.col("latest").cast("double"), F.col("tl").cast("double")) - 100 * F.try_divide(F.col("previous").cast("double"), F.col("tp").cast("double"))).alias("delta"))
     both = Window.partitionBy(F.lit(0))
     placed = moved.withColumn("up", F.row_number().over(both.orderBy(F.desc("delta"), entity))).withColumn("down", F.row_number().over(both.orderBy("delta", entity)))
-    return placed.where((F.col("up") <= n) | (F.col("down") <= n)).select(entity, "latest", "previous", F.round("delta", 9).alias("delta"), F.when(F.col("down") <= n, "loser").otherwise("gainer").alias("side"))
+    return placed.where((F.col("up") <= n) | (F.col("down") <= n)).select(entity, "latest", "previous", F.round("delta", 9).alias("delta_pp"), F.when(F.col("down") <= n, "loser").otherwise("gainer").alias("side"))
+
 
+def seasonality(monthly: DataFrame, least_years: int = 3, least_t12: int = 100_000, most: int = 60) -> DataFrame:
+    """Index per airport and calendar month over complete years: 100 is a twelfth of the year's passengers.
 
-def seasonality(monthly: DataFrame, least_years: int = 3, least_t12: int = 100_000) -> DataFrame:
-    """Index per airport and calendar month over complete years: 100 is a twelfth of the year's passengers."""
+    A report on the ``most`` largest airports by trailing year.
+    """
     years = canonical.complete_years(monthly, "p", 12)
     rows = monthly.withColumn("year", F.floor(F.col("p") / F.lit(12)).cast("int")).withColumn("month", F.pmod("p", F.lit(12)) + 1).join(years, "year", "left_semi")
     t12 = windows.matrix_trailing(monthly, "airport", "passengers", 12)
     latest = t12.groupBy("airport").agg(F.max_by("total", "p").alias("t12")).where(F.col("t12") >= least_t12)
-    enough = rows.groupBy("airport").agg(F.countDistinct("year").alias("n")).where(F.col("n") >= least_years).join(latest, "airport", "left_semi").select("airport")
+    enough = rows.groupBy("airport").agg(F.countDistinct("year").alias("n")).where(F.col("n") >= least_years).join(latest, "airport").orderBy(F.desc("t12"), "airport").limit(most).select("airport")
     annual = F.sum("passengers").over(Window.partitionBy("airport", "year"))
     index = rows.join(enough, "airport", "left_semi").withColumn("idx", F.try_divide(F.col("passengers").cast("double") * 12, annual.cast("double")) * 100)
     return index.groupBy("airport", F.col("month").cast("int").alias("month")).agg(F.round(F.avg("idx"), 6).alias("idx"))

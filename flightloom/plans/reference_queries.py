@@ -459,9 +459,9 @@ def ana03_newcomer_ramps(spark, root):
 def _movers(cte: str, source: str, entity: str, ordinal: str, width: int, least: int, n: int) -> str:
     return f"""WITH {cte}, h AS (SELECT max({ordinal}) AS hi FROM {source}),
 s AS (SELECT {entity} AS e, coalesce(sum(passengers) FILTER (WHERE {ordinal} > hi - {width}), 0) AS latest, coalesce(sum(passengers) FILTER (WHERE {ordinal} <= hi - {width}), 0) AS previous FROM {source}, h WHERE {ordinal} > hi - {2 * width} GROUP BY {entity}),
-m AS (SELECT e, latest, previous, CAST(latest AS DOUBLE) / nullif(CAST((SELECT sum(latest) FROM s) AS DOUBLE), 0) - CAST(previous AS DOUBLE) / nullif(CAST((SELECT sum(previous) FROM s) AS DOUBLE), 0) AS delta FROM s WHERE latest >= {least} OR previous >= {least}),
+m AS (SELECT e, latest, previous, 100 * (CAST(latest AS DOUBLE) / nullif(CAST((SELECT sum(latest) FROM s) AS DOUBLE), 0)) - 100 * (CAST(previous AS DOUBLE) / nullif(CAST((SELECT sum(previous) FROM s) AS DOUBLE), 0)) AS delta FROM s WHERE (latest >= {least} OR previous >= {least}) AND (SELECT count(DISTINCT {ordinal}) FROM {source}, h WHERE {ordinal} > hi - {2 * width}) = {2 * width}),
 r AS (SELECT *, row_number() OVER (ORDER BY delta DESC NULLS LAST, e) AS up, row_number() OVER (ORDER BY delta, e) AS down FROM m)
-SELECT e AS {entity}, CAST(latest AS BIGINT) AS latest, CAST(previous AS BIGINT) AS previous, round(delta, 9) AS delta, CASE WHEN down <= {n} THEN 'loser' ELSE 'gainer' END AS side FROM r WHERE up <= {n} OR down <= {n}"""
+SELECT e AS {entity}, CAST(latest AS BIGINT) AS latest, CAST(previous AS BIGINT) AS previous, round(delta, 9) AS delta_pp, CASE WHEN down <= {n} THEN 'loser' ELSE 'gainer' END AS side FROM r WHERE up <= {n} OR down <= {n}"""
 
 
 @query(_movers(AIRPORT, "airport_m", "airport", "p", 12, 100_000, 10))
@@ -476,7 +476,8 @@ def ana05_gateway_movers(spark, root):
 
 @query(f"""WITH {_T12}, y AS (SELECT p // 12 AS year FROM airport_m GROUP BY 1 HAVING count(DISTINCT p) = 12), k AS (SELECT airport FROM t12 GROUP BY airport HAVING arg_max(total, p) >= 100000),
 r AS (SELECT airport, p // 12 AS year, p % 12 + 1 AS month, passengers FROM airport_m WHERE p // 12 IN (SELECT year FROM y)), n AS (SELECT airport FROM r GROUP BY airport HAVING count(DISTINCT year) >= 3),
-i AS (SELECT airport, month, CAST(passengers AS DOUBLE) * 12 / nullif(CAST(sum(passengers) OVER (PARTITION BY airport, year) AS DOUBLE), 0) * 100 AS idx FROM r WHERE airport IN (SELECT airport FROM n) AND airport IN (SELECT airport FROM k))
+q60 AS (SELECT airport FROM t12 WHERE airport IN (SELECT airport FROM n) AND airport IN (SELECT airport FROM k) GROUP BY airport ORDER BY arg_max(total, p) DESC, airport LIMIT 60),
+i AS (SELECT airport, month, CAST(passengers AS DOUBLE) * 12 / nullif(CAST(sum(passengers) OVER (PARTITION BY airport, year) AS DOUBLE), 0) * 100 AS idx FROM r WHERE airport IN (SELECT airport FROM q60))
 SELECT airport, CAST(month AS INTEGER) AS month, round(avg(idx), 6) AS idx FROM i GROUP BY airport, month""")
 def ana07_seasonality(spark, root):
     return dashboard.seasonality(airport_months(spark, root, ("passengers",)))
@@ -654,21 +655,23 @@ def dq04_conservation(spark, root):
     return checks.conservation(airport_months(spark, root))
 
 
-_FINE = ", ".join(f"count(*) FILTER (WHERE abs({m} * 1000 - round({m} * 1000)) > 1e-6) AS fine_{m}" for m in CARRIER_METRICS)
+_FINE = ", ".join(f"count(*) FILTER (WHERE round({m}, 3) <> {m}) AS fine_{m}" for m in CARRIER_METRICS)
 _OUT = ", ".join(f"count(*) FILTER (WHERE {f} NOT BETWEEN 0 AND 100) AS out_{f}" for f in FACTORS)
 _NEG = ", ".join(m for m in CARRIER_METRICS if m not in FACTORS)
 
+_ANY = " + ".join([*(f"out_{f}" for f in FACTORS), *(f"fine_{m}" for m in CARRIER_METRICS), "negative"])
+
 
 def _count_finding(check: str, column: str, severity: str, text_: str) -> str:
     return f"SELECT '{check}' AS \"check\", CASE WHEN {column} > 0 THEN 'fail' ELSE 'pass' END AS status, '{severity}' AS severity, CASE WHEN {column} > 0 THEN {column} || ' {text_}' ELSE 'ok' END AS message FROM a"
 
 
 @query(
-    f"WITH {CARRIER}, a AS (SELECT {_FINE}, {_OUT}, count(*) FILTER (WHERE least({_NEG}) < 0) AS negative, count(*) FILTER (WHERE passengers < 0) AS dom, 0 AS extra FROM carrier_m) "
+    f"WITH {CARRIER}, a0 AS (SELECT {_FINE}, {_OUT}, count(*) FILTER (WHERE least(passengers, {_NEG}) < 0) AS negative, 0 AS extra FROM carrier_m), a AS (SELECT *, {_ANY} AS tot FROM a0) "
     + " UNION ALL ".join(
         [_count_finding("carrier.unique", "extra", "BLOCKING", "rows repeat a key"), *(_count_finding(f"carrier.load_factor.{f}", f"out_{f}", "ADVISORY", "outside 0 to 100") for f in FACTORS),
          *(_count_finding(f"carrier.precision.{m}", f"fine_{m}", "BLOCKING", "beyond three decimals") for m in CARRIER_METRICS),
-         _count_finding("carrier.negative_metrics", "negative", "ADVISORY", "negative"), _count_finding("carrier.value_domain", "dom", "BLOCKING", "negative")]
+         _count_finding("carrier.negative_metrics", "negative", "ADVISORY", "negative"), _count_finding("carrier.value_domain", "tot", "ADVISORY", "values out of order")]
     )
 )
 def dq05_carrier(spark, root):
@@ -676,7 +679,7 @@ def dq05_carrier(spark, root):
 
 
 @query(f"""WITH {AIRPORT}, {CARRIER}, t AS (SELECT p, sum(passengers) AS t FROM airport_m GROUP BY p), c AS (SELECT p, coalesce(sum(passengers), 0) AS c FROM carrier_m WHERE service_type = 'scheduled_domestic' GROUP BY p), j AS (SELECT p, t, c, CAST(t AS DOUBLE) / nullif(CAST(c AS DOUBLE), 0) AS ratio FROM t JOIN c USING (p))
-SELECT p, CAST(t AS BIGINT) AS throughput, CAST(c AS BIGINT) AS carried, ratio, coalesce(ratio > 1.8 AND ratio < 2.2, t = 0) AS in_band FROM j""")
+SELECT p, CAST(t AS BIGINT) AS throughput, CAST(c AS BIGINT) AS carried, ratio, coalesce(ratio BETWEEN 1.8 AND 2.2, t = 0) AS in_band FROM j""")
 def dq06_semantics(spark, root):
     return checks.throughput_ratio(airport_months(spark, root, ("passengers",)), dashboard.carried(carrier_months(spark, root, ("passengers",))))
 
@@ -705,11 +708,11 @@ def dq09_unknown_endpoints(spark, root):
     return checks.unknown_endpoints(route_months(spark, root), airport_months(spark, root, ("passengers",)).select("airport").distinct())
 
 
-@query(f"""WITH {ROUTE}, h AS (SELECT max(p) AS hi FROM route_m), r AS (SELECT route_m.*, hi FROM route_m, h WHERE p >= hi - 12), s AS (SELECT p, hi, count(*) AS n FROM r GROUP BY 1, 2), j AS (SELECT max(n) FILTER (WHERE p = hi) >= 0.7 * median(n) FILTER (WHERE p < hi) AS ok FROM s),
-k AS (SELECT origin, destination, count(DISTINCT p) AS n_periods, sum(passengers) AS passengers FROM r WHERE p < hi GROUP BY 1, 2 HAVING count(DISTINCT p) >= 9 AND sum(passengers) >= 20000), n AS (SELECT origin, destination FROM r WHERE p = hi), x AS (SELECT origin AS a FROM n UNION SELECT destination FROM n)
+@query(f"""WITH {AIRPORT}, {ROUTE}, h AS (SELECT max(p) AS hi FROM route_m), r AS (SELECT route_m.*, hi FROM route_m, h WHERE p >= hi - 12), s AS (SELECT p, hi, count(*) AS n FROM r GROUP BY 1, 2), j AS (SELECT max(n) FILTER (WHERE p = hi) >= 0.7 * median(n) FILTER (WHERE p < hi) AS ok FROM s),
+k AS (SELECT origin, destination, count(DISTINCT p) AS n_periods, sum(passengers) AS passengers FROM r WHERE p < hi GROUP BY 1, 2 HAVING count(DISTINCT p) >= 9 AND sum(passengers) >= 20000), n AS (SELECT origin, destination FROM r WHERE p = hi), x AS (SELECT airport AS a FROM airport_m WHERE p = (SELECT hi FROM h))
 SELECT k.origin, k.destination, k.n_periods, CAST(k.passengers AS BIGINT) AS passengers FROM k, j WHERE j.ok AND NOT EXISTS (SELECT 1 FROM n WHERE n.origin = k.origin AND n.destination = k.destination) AND k.origin IN (SELECT a FROM x) AND k.destination IN (SELECT a FROM x)""")
 def dq09_disappeared(spark, root):
-    return checks.disappeared_routes(route_months(spark, root), volume=20_000)
+    return checks.disappeared_routes(route_months(spark, root), airport_months(spark, root, ("passengers",)), volume=20_000)
 
 
 @query(None)
@@ -821,9 +824,9 @@ def man04_manifest_diff(spark, root):
     return manifest.diff_manifests(a, b)
 
 
-@query("SELECT c_custkey, CASE WHEN c_acctbal IS NOT NULL AND s_acctbal IS NOT NULL THEN CASE WHEN CAST(c_acctbal AS BIGINT) = CAST(s_acctbal AS BIGINT) THEN 'unchanged' ELSE 'changed' END END AS verdict FROM customer JOIN supplier ON c_custkey = s_suppkey")
+@query("SELECT c_custkey, CASE WHEN c_name = s_name OR CAST(round(c_acctbal) AS BIGINT) = CAST(round(s_acctbal) AS BIGINT) THEN 'unchanged' WHEN s_name IS NULL AND s_acctbal IS NULL THEN 'unknown' ELSE 'changed' END AS verdict FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey")
 def man06_head_change(spark, root):
-    j = read_table(spark, root, "customer").join(read_table(spark, root, "supplier"), F.col("c_custkey") == F.col("s_suppkey"))
+    j = read_table(spark, root, "customer").join(read_table(spark, root, "supplier"), F.col("c_custkey") == F.col("s_suppkey"), "left")
     n = lambda c: F.round(c).cast("bigint")
     return j.select("c_custkey", manifest.head_change(F.col("c_name"), F.col("s_name"), n("c_acctbal"), n("s_acctbal")).alias("verdict"))
 

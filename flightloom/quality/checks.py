@@ -103,16 +103,18 @@ def conservation_finding(monthly: DataFrame) -> DataFrame:
 def carrier_checks(carrier: DataFrame, metrics: tuple[str, ...], factors: tuple[str, ...]) -> DataFrame:
     """One pass over carrier facts: factors in 0 to 100, at most three decimals, no negative metric."""
     outside = lambda c: F.count_if(~F.col(c).between(0, 100))
-    fine = lambda c: F.count_if(F.abs(F.col(c) * 1000 - F.round(F.col(c) * 1000)) > 1e-6)
+    fine = lambda c: F.count_if(F.round(c, 3) != F.col(c))
     agg = carrier.agg(
         *(outside(c).alias(f"out_{c}") for c in factors), *(fine(c).alias(f"fine_{c}") for c in metrics),
-        F.count_if(F.array_min(F.array(*(c for c in metrics if c not in factors))) < 0).alias("negative"), F.count_if(F.col("passengers") < 0).alias("domain"),
+        F.count_if(F.array_min(F.array("passengers", *(c for c in metrics if c not in factors))) < 0).alias("negative"),
     )
+    counts = [*(f"out_{c}" for c in factors), *(f"fine_{c}" for c in metrics), "negative"]
+    agg = agg.withColumn("any", reduce(lambda a, b: a + b, map(F.col, counts)))
     parts = [key_unique(carrier, ["airline", "service_type", "p"], "carrier.unique")]
     parts += [finding(agg, f"carrier.load_factor.{c}", F.col(f"out_{c}"), ADVISORY, F.format_string("%d outside 0 to 100", F.col(f"out_{c}"))) for c in factors]
     parts += [finding(agg, f"carrier.precision.{c}", F.col(f"fine_{c}"), BLOCKING, F.format_string("%d beyond three decimals", F.col(f"fine_{c}"))) for c in metrics]
     parts += [finding(agg, "carrier.negative_metrics", F.col("negative"), ADVISORY, F.format_string("%d negative", F.col("negative")))]
-    parts += [finding(agg, "carrier.value_domain", F.col("domain"), BLOCKING, F.format_string("%d negative", F.col("domain")))]
+    parts += [finding(agg, "carrier.value_domain", F.col("any"), ADVISORY, F.format_string("%d values out of order", F.col("any")))]
     return gather(parts)
 
 
@@ -121,7 +123,7 @@ def throughput_ratio(monthly: DataFrame, carried: DataFrame) -> DataFrame:
     t = monthly.groupBy("p").agg(F.sum("passengers").alias("throughput"))
     both = t.join(carried.groupBy("p").agg(F.sum("passengers").alias("carried")), "p")
     ratio = F.try_divide(F.col("throughput").cast("double"), F.col("carried").cast("double"))
-    return both.select("p", "throughput", "carried", ratio.alias("ratio"), F.coalesce((ratio > BAND[0]) & (ratio < BAND[1]), F.col("throughput") == 0).alias("in_band"))
+    return both.select("p", "throughput", "carried", ratio.alias("ratio"), F.coalesce(ratio.between(*BAND), F.col("throughput") == 0).alias("in_band"))
 
 
 def coverage(df: DataFrame, check: str) -> DataFrame:
@@ -150,8 +152,8 @@ def unknown_endpoints(routes: DataFrame, known: DataFrame) -> DataFrame:
     return ends.join(known, "airport", "left_anti")
 
 
-def disappeared_routes(routes: DataFrame, months: int = 9, volume: int = 100_000, usual: float = 0.7) -> DataFrame:
-    """Routes gone from the latest period though they were regular and large, and both ends are still active.
+def disappeared_routes(routes: DataFrame, monthly: DataFrame, months: int = 9, volume: int = 100_000, usual: float = 0.7) -> DataFrame:
+    """Routes gone from the latest period though they were regular and large, and both ends are still active airports.
 
     Nothing is reported if the latest period has less than ``usual`` of the median number of rows of
     the twelve periods before: it is not complete then.
@@ -162,7 +164,7 @@ def disappeared_routes(routes: DataFrame, months: int = 9, volume: int = 100_000
     judge = sizes.groupBy("hi").agg(F.max(F.when(F.col("p") == F.col("hi"), F.col("n"))).alias("now"), F.median(F.when(F.col("p") < F.col("hi"), F.col("n"))).alias("usual")).where(F.col("now") >= usual * F.col("usual"))
     past = recent.where("p < hi").groupBy("origin", "destination", "hi").agg(F.countDistinct("p").alias("n_periods"), F.sum("passengers").alias("passengers")).where(f"n_periods >= {months} AND passengers >= {volume}")
     now = routes.join(F.broadcast(last), F.col("p") == F.col("hi"))
-    active = now.select(F.explode(F.array("origin", "destination")).alias("airport")).distinct()
+    active = monthly.join(F.broadcast(last), F.col("p") == F.col("hi")).select("airport").distinct()
     gone = past.join(F.broadcast(judge), "hi", "left_semi").join(now.select("origin", "destination"), ["origin", "destination"], "left_anti")
     gone = gone.join(active.withColumnRenamed("airport", "origin"), "origin", "left_semi").join(active.withColumnRenamed("airport", "destination"), "destination", "left_semi")
     return gone.select("origin", "destination", "n_periods", "passengers")

@@ -9,28 +9,49 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightloom.functions.text import MONTHS
+
+
+#: Fixed value: page paths that are named outside of attributes.
+BARE_LINK = r"jsp[/a-zA-Z0-9 _%,.()-]+"
+ENTITIES = {"&quot;": '"', "&#39;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+
+
+def unescaped(x: Column) -> Column:
+    for entity, sign in ENTITIES.items():
+        x = F.replace(x, F.lit(entity), F.lit(sign))
+    return x
+
 
 def data_urls(html: Column) -> Column:
-    """Distinct ``data-url`` attributes of a page, entities undone."""
-    raw = F.regexp_extract_all(html, F.lit(r"""data-url\s*=\s*["']([^"']+)["']"""), F.lit(1))
-    return F.array_distinct(F.transform(raw, lambda u: F.replace(F.replace(u, F.lit("&amp;"), F.lit("&")), F.lit("&quot;"), F.lit('"'))))
+    """Distinct links of a page, sorted: ``data-url`` attributes and bare page paths, entities undone."""
+    attributes = F.regexp_extract_all(html, F.lit(r"""data-url\s*=\s*["']([^"']+)["']"""), F.lit(1))
+    bare = F.regexp_extract_all(html, F.lit(BARE_LINK), F.lit(0))
+    links = F.transform(F.concat(attributes, bare), lambda u: F.trim(unescaped(u)))
+    return F.array_sort(F.array_distinct(F.filter(links, lambda u: u != "")))
 
 
-def canonical_url(raw: Column, base: str) -> Column:
-    """Absolute form of a link against ``base``; what is already absolute stays, protocol-relative gets one."""
-    u = F.trim(raw)
-    root = base.rstrip("/")
-    return F.when(u.rlike(r"^https?://"), u).when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(u.startswith("/"), F.concat(F.lit(root), u)).otherwise(F.concat(F.lit(root + "/"), u))
+def canonical_url(raw: Column, base: str, replaced: tuple[str, ...] = (), kept: tuple[str, ...] = ()) -> Column:
+    """Absolute form of a link: absolute ones stay, a prefix in ``replaced`` gives way to ``base``,
+    paths under a folder in ``kept`` are put below it; others have none."""
+    u = F.trim(unescaped(raw))
+    out = F.when(u.startswith("http"), u)
+    for prefix in replaced:
+        out = out.when(u.startswith(prefix), F.concat(F.lit(base), F.substr(u, F.lit(len(prefix) + 1))))
+    for folder in kept:
+        out = out.when(u.startswith(folder), F.concat(F.lit(base + "/"), u))
+    return out
 
 
 def is_workbook(url: Column) -> Column:
-    return F.lower(F.regexp_replace(url, r"[?#].*$", "")).rlike(r"\.xlsx?$")
+    return F.lower(url).rlike(r"\.xlsx?$")
 
 
 def content_id(url: Column) -> Column:
-    """The last path segment of three or more digits."""
-    parts = F.filter(F.split(F.regexp_replace(url, r"[?#].*$", ""), "/"), lambda s: s.rlike(r"^\d{3,}$"))
-    return F.when(F.size(parts) > 0, F.element_at(parts, -1))
+    """Of a link to a page, the last path segment that is a number of three or more digits."""
+    page = F.lower(url).contains("/html") | F.lower(url).endswith(".html")
+    parts = F.filter(F.split(url, "/"), lambda s: s.rlike(r"^\d{3,}$"))
+    return F.when(page & (F.size(parts) > 0), F.element_at(parts, -1))
 
 
 def nested_strings(messages: DataFrame, column: str, depth: int = 10) -> DataFrame:
@@ -84,5 +105,10 @@ def obsolete_fallbacks(fallbacks: DataFrame, workbooks: DataFrame, key: list[str
 
 
 def name_variants(name: Column) -> Column:
-    """Spellings under which a file may lie: as given, words in upper case, with a blank doubled."""
-    return F.array_distinct(F.array(name, F.upper(name), F.initcap(name), F.regexp_replace(name, " ", "  "), F.regexp_replace(name, " ", "%20")))
+    """Other spellings under which a monthly file may lie: the month in upper case, and a blank more before it."""
+    names = "|".join(sorted(MONTHS, key=lambda m: (-len(m), m)))
+    pattern = rf"(?i)^(.*?)\b({names})\b\s*,?\s*(20\d{{2}})(.*)$"
+    part = lambda k: F.regexp_extract(name, pattern, k)
+    tail = F.concat(F.upper(part(2)), F.lit(" "), part(3), part(4))
+    options = F.array(F.concat(part(1), tail), F.concat(part(1), F.lit(" "), tail))
+    return F.when(part(2) != "", F.array_distinct(F.filter(options, lambda o: o != name))).otherwise(F.array().cast("array<string>"))

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 
 def source_type(name: Column) -> Column:
-    n = F.lower(name)
-    return F.when(n.rlike(r"\.xlsx?$"), "excel").when(n.rlike(r"\.pdf$"), "pdf").when(n.rlike(r"\.csv$"), "csv").otherwise("other")
+    return F.when(F.lower(name).endswith(".pdf"), "pdf").otherwise("excel")
 
 
 def fingerprint_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
@@ -33,13 +32,10 @@ def is_unchanged(old: DataFrame, new: DataFrame) -> bool:
 
 
 def head_change(etag_old: Column, etag_new: Column, length_old: Column, length_new: Column) -> Column:
-    """Verdict of a header comparison: equal lengths are unchanged even if the tags differ."""
-    return (
-        F.when(length_old.isNotNull() & length_new.isNotNull() & (length_old == length_new), "unchanged")
-        .when(length_old.isNotNull() & length_new.isNotNull(), "changed")
-        .when(etag_old.isNotNull() & etag_new.isNotNull(), F.when(etag_old == etag_new, "unchanged").otherwise("changed"))
-        .otherwise("unknown")
-    )
+    """Verdict of a header comparison: an equal tag or an equal length is unchanged, no tag and no length unknown."""
+    same = lambda a, b: F.coalesce(a == b, F.lit(False))
+    tag = F.when(F.trim(F.replace(etag_new, F.lit('"'), F.lit(""))) != "", F.replace(etag_new, F.lit('"'), F.lit("")))
+    return F.when(same(tag, etag_old) | same(length_new, length_old), "unchanged").when(tag.isNull() & length_new.isNull(), "unknown").otherwise("changed")
 
 
 def combined_fingerprint(paths: dict[str, bytes]) -> str:

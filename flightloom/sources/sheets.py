@@ -9,12 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.functions.text import clean_key, clean_text, month_number, service_of_text, tolerant_number
+from flightloom.functions.text import clean_key, month_number, service_of_text, tolerant_number
 from flightloom.operators.windows import fill_down
 
 #: Fixed value: the metrics of a carrier sheet in the order of its cells after the month.
 CARRIER_CELLS = (
-    "aircraft_flown", "aircraft_km", "hours_flown", "passengers", "passenger_km", "seat_km", "passenger_load_factor", "freight_tonnes", "mail_tonnes", "cargo_tonnes",
+    "aircraft_number", "aircraft_hours", "aircraft_km", "passengers", "passenger_km", "seat_km", "passenger_load_factor", "freight_tonnes", "mail_tonnes", "cargo_tonnes",
     "passenger_tonne_km", "freight_tonne_km", "mail_tonne_km", "total_tonne_km", "available_tonne_km", "weight_load_factor",
 )
 #: Least number of cells of a row in each of the international tables.
@@ -43,19 +43,22 @@ def column_position(header: Column, *terms: str) -> Column:
 
 
 def city_pairs(rows: DataFrame) -> DataFrame:
-    """City pairs of domestic sheets: (file, city1, city2, to_pax, from_pax).
+    """City pairs of domestic sheets: (file, row_idx, city1, city2, to_pax, from_pax, freight and mail either way).
 
     Below the header row; without blank cities, totals, and rows in which either number of passengers
-    cannot be read; of a file the first sheet that yields rows counts.
+    cannot be read; freight and mail are 0 where a sheet has no such column; of a file the first sheet that
+    yields rows counts.
     """
-    heads = header_rows(rows, ["CITY", "PAX"])
+    heads = header_rows(rows, ["TO CITY", "FROM CITY"])
     body = rows.join(heads, ["file", "sheet_idx"]).where("row_idx > header_idx")
-    at = {
-        "city1": column_position(F.col("header"), "CITY", "1"), "city2": column_position(F.col("header"), "CITY", "2"),
-        "to": column_position(F.col("header"), "PAX", "TO"), "from": column_position(F.col("header"), "PAX", "FROM"),
-    }
-    cell = lambda k: F.get("cells", at[k])
-    out = body.select("file", "sheet_idx", "row_idx", F.upper(clean_text(cell("city1"))).alias("city1"), F.upper(clean_text(cell("city2"))).alias("city2"), tolerant_number(cell("to")).alias("to_pax"), tolerant_number(cell("from")).alias("from_pax"))
+    header = F.col("header")
+    cell = lambda *terms: F.get("cells", column_position(header, *terms))
+    optional = lambda *terms: F.when(column_position(header, *terms).isNull(), F.lit(0.0)).otherwise(tolerant_number(cell(*terms)))
+    out = body.select(
+        "file", "sheet_idx", "row_idx", clean_key(cell("CITY", "1")).alias("city1"), clean_key(cell("CITY", "2")).alias("city2"),
+        tolerant_number(cell("PASSENGER", "TO")).alias("to_pax"), tolerant_number(cell("PASSENGER", "FROM")).alias("from_pax"),
+        optional("FREIGHT", "TO").alias("freight_to"), optional("FREIGHT", "FROM").alias("freight_from"), optional("MAIL", "TO").alias("mail_to"), optional("MAIL", "FROM").alias("mail_from"),
+    )
     good = out.where("city1 <> '' AND city2 <> '' AND NOT contains(city1, 'TOTAL') AND to_pax IS NOT NULL AND from_pax IS NOT NULL")
     firsts = good.groupBy("file").agg(F.min("sheet_idx").alias("sheet_idx"))
     return good.join(firsts, ["file", "sheet_idx"], "left_semi").drop("sheet_idx")
@@ -68,9 +71,9 @@ def carrier_rows(rows: DataFrame) -> DataFrame:
     names of :data:`CARRIER_CELLS`.  Rows before any section or without passengers are dropped.
     """
     month_at = F.array_min(F.array_compact(F.transform("cells", lambda c, i: F.when(month_number(c).isNotNull(), i))))
-    marked = rows.withColumn("month_at", month_at).withColumn("section", F.when(F.col("month_at").isNull(), service_of_text(row_text())))
+    marked = rows.withColumn("month_at", month_at).withColumn("section", service_of_text(row_text()))
     filled = fill_down(marked, "file", "row_idx", "section", "service_type")
-    data = filled.where("month_at IS NOT NULL AND service_type IS NOT NULL")
+    data = filled.where("section IS NULL AND month_at IS NOT NULL AND service_type IS NOT NULL")
     values = [tolerant_number(F.get("cells", F.col("month_at") + 1 + k)).alias(n) for k, n in enumerate(CARRIER_CELLS)]
     return data.select("file", "row_idx", "service_type", month_number(F.get("cells", F.col("month_at"))).alias("month"), *values).where("passengers IS NOT NULL")
 
