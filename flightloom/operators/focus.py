@@ -90,15 +90,21 @@ def concentration(routes: DataFrame, n: int = 50) -> DataFrame:
     return sums.select("year", "n_pairs", "total", "trunk", F.round(1 - F.try_divide(F.col("trunk").cast("double"), F.col("total").cast("double")), 9).alias("beyond"))
 
 
+def recent_periods(df: DataFrame, width: int) -> DataFrame:
+    """One row (hi) with the last period if all of the latest ``width`` periods exist, else none."""
+    last = df.agg(F.max("p").alias("hi"))
+    near = df.select("p").join(F.broadcast(last), F.col("p") > F.col("hi") - width)
+    return near.groupBy("hi").agg(F.countDistinct("p").alias("n")).where(F.col("n") == width).select("hi")
+
+
 def hub_markets(routes: DataFrame, hub: str, n: int = 15, band: float = 0.01) -> DataFrame:
-    """Largest partners of a hub in the latest twelve months against the twelve before."""
+    """Largest partners of a hub in the latest twelve months against the twelve before; nothing unless all 24 exist."""
     own = routes.where((F.col("origin") == hub) | (F.col("destination") == hub)).withColumn("partner", F.when(F.col("origin") == hub, F.col("destination")).otherwise(F.col("origin")))
-    last = routes.agg(F.max("p").alias("hi"))
-    rows = own.join(F.broadcast(last), F.col("p") > F.col("hi") - 24)
+    rows = own.join(F.broadcast(recent_periods(routes, 24)), F.col("p") > F.col("hi") - 24)
     recent = F.col("p") > F.col("hi") - 12
     sums = rows.groupBy("partner").agg(F.coalesce(F.sum(F.when(recent, F.col("passengers"))), F.lit(0)).alias("latest"), F.coalesce(F.sum(F.when(~recent, F.col("passengers"))), F.lit(0)).alias("previous"))
     yoy = F.try_divide(F.col("latest").cast("double"), F.col("previous").cast("double")) - 1
-    trend = F.when(yoy.isNull(), "new").when(yoy > band, "up").when(yoy < -band, "down").otherwise("flat")
+    trend = F.when(yoy.isNull(), "new").when(yoy >= band, "up").when(yoy <= -band, "down").otherwise("flat")
     return sums.orderBy(F.desc("latest"), "partner").limit(n).select("partner", "latest", "previous", F.round(yoy, 9).alias("yoy"), trend.alias("trend"))
 
 
@@ -129,29 +135,35 @@ def relief(monthly: DataFrame, entrant: str, incumbent: str) -> DataFrame:
     )
     months = F.col("hi") - F.col("lo") + 1
     whole = agg.where((F.col("n1") == months) & (F.col("n2") == months) & (F.col("n3") == months))
-    return whole.select(months.alias("months"), "entrant", "incumbent", "incumbent_before", F.round(F.try_divide((F.col("incumbent_before") - F.col("incumbent")).cast("double"), F.col("entrant").cast("double")), 9).alias("displaced"))
+    return whole.select(months.alias("months"), "entrant", "incumbent", "incumbent_before", F.round(F.try_divide(F.greatest(F.col("incumbent_before") - F.col("incumbent"), F.lit(0)).cast("double"), F.col("entrant").cast("double")), 9).alias("displaced"))
 
 
-def breakouts(monthly: DataFrame, quiet: int = 12, factor: int = 4, recede: float = 0.6) -> DataFrame:
-    """Airports that leave the ceiling of their first ``quiet`` observed months: first month at ``factor`` times it."""
+def breakouts(monthly: DataFrame, quiet: int = 12, factor: int = 4, recede: float = 0.6, observed: int = 24) -> DataFrame:
+    """Airports that leave the ceiling of their first ``quiet`` observed months: first month at ``factor`` times it.
+
+    At least ``observed`` months, two of them adjacent, and two quiet years before it are asked for.
+    """
     known = monthly.where("passengers IS NOT NULL")
     w = Window.partitionBy("airport").orderBy("p")
-    placed = known.withColumn("k", F.row_number().over(w))
-    ceiling = placed.groupBy("airport").agg(F.max(F.when(F.col("k") <= quiet, F.col("passengers"))).alias("ceiling"), F.count(F.lit(1)).alias("n"), F.min("p").alias("first_p"), F.max_by("passengers", "p").alias("latest")).where(F.col("n") > quiet)
+    placed = known.withColumn("k", F.row_number().over(w)).withColumn("adjacent", F.col("p") - F.lag("p").over(w) == 1)
+    ceiling = placed.groupBy("airport").agg(F.max(F.when(F.col("k") <= quiet, F.col("passengers"))).alias("ceiling"), F.count(F.lit(1)).alias("n"), F.min("p").alias("first_p"), F.max_by("passengers", "p").alias("latest"), F.max("adjacent").alias("near")).where((F.col("n") >= observed) & F.col("near"))
     out = placed.where(F.col("k") > quiet).join(ceiling.where("ceiling > 0"), "airport")
     broke = out.groupBy("airport", "ceiling", "first_p", "latest").agg(F.min(F.when(F.col("passengers") >= F.col("ceiling") * factor, F.col("p"))).alias("breakout_p"), F.max("passengers").alias("peak"))
     quiet_years = F.floor((F.col("breakout_p") - F.col("first_p")) / 12).cast("int")
     return broke.where("breakout_p IS NOT NULL").withColumn("quiet_years", quiet_years).where("quiet_years >= 2").select("airport", "ceiling", "breakout_p", "quiet_years", "peak", (F.col("latest") < F.col("peak") * recede).alias("receded"))
 
 
-def white_space(routes: DataFrame, hub: str, least: int = 100_000) -> DataFrame:
-    """Airports of some size in the latest twelve months that the hub does not serve."""
-    last = routes.agg(F.max("p").alias("hi"))
-    recent = routes.join(F.broadcast(last), F.col("p") > F.col("hi") - 12)
+def white_space(routes: DataFrame, hub: str, least: int = 100_000, markets: int = 30) -> DataFrame:
+    """Airports of some size in the latest twelve months that the hub does not serve.
+
+    Nothing unless all twelve exist and the hub serves at least ``markets``: fewer mean missing rows, not white space.
+    """
+    recent = routes.join(F.broadcast(recent_periods(routes, 12)), F.col("p") > F.col("hi") - 12)
     ends = recent.select(F.explode(F.array("origin", "destination")).alias("airport"), "passengers").groupBy("airport").agg(F.sum("passengers").alias("volume")).where(F.col("volume") >= least)
     own = recent.where((F.col("origin") == hub) | (F.col("destination") == hub))
     partners = own.groupBy(F.when(F.col("origin") == hub, F.col("destination")).otherwise(F.col("origin")).alias("airport")).agg(F.sum("passengers").alias("n")).where("n > 0")
-    return ends.where(F.col("airport") != hub).join(partners, "airport", "left_anti")
+    enough = partners.agg(F.count(F.lit(1)).alias("n_markets")).where(F.col("n_markets") >= markets)
+    return ends.where(F.col("airport") != hub).join(partners, "airport", "left_anti").join(F.broadcast(enough), F.lit(True)).select("airport", "volume")
 
 
 def catchment(monthly: DataFrame, members: DataFrame, back: int = 36, recent: int = 12) -> DataFrame:

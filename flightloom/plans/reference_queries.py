@@ -582,9 +582,9 @@ def noi10_concentration(spark, root):
     return focus.concentration(route_months(spark, root))
 
 
-@query(f"""WITH {ROUTE}, {HUB}, h AS (SELECT max(p) AS hi FROM route_m), s AS (SELECT CASE WHEN origin = hub THEN destination ELSE origin END AS partner, coalesce(sum(passengers) FILTER (WHERE p > hi - 12), 0) AS latest, coalesce(sum(passengers) FILTER (WHERE p <= hi - 12), 0) AS previous FROM route_m, hub, h WHERE (origin = hub OR destination = hub) AND p > hi - 24 GROUP BY 1),
+@query(f"""WITH {ROUTE}, {HUB}, h AS (SELECT max(p) AS hi FROM route_m), s AS (SELECT CASE WHEN origin = hub THEN destination ELSE origin END AS partner, coalesce(sum(passengers) FILTER (WHERE p > hi - 12), 0) AS latest, coalesce(sum(passengers) FILTER (WHERE p <= hi - 12), 0) AS previous FROM route_m, hub, h WHERE (origin = hub OR destination = hub) AND p > hi - 24 AND (SELECT count(DISTINCT p) FROM route_m, h WHERE p > hi - 24) = 24 GROUP BY 1),
 x AS (SELECT partner, latest, previous, CAST(latest AS DOUBLE) / nullif(CAST(previous AS DOUBLE), 0) - 1 AS yoy FROM s ORDER BY latest DESC, partner LIMIT 15)
-SELECT partner, CAST(latest AS BIGINT) AS latest, CAST(previous AS BIGINT) AS previous, round(yoy, 9) AS yoy, CASE WHEN yoy IS NULL THEN 'new' WHEN yoy > 0.01 THEN 'up' WHEN yoy < -0.01 THEN 'down' ELSE 'flat' END AS trend FROM x""")
+SELECT partner, CAST(latest AS BIGINT) AS latest, CAST(previous AS BIGINT) AS previous, round(yoy, 9) AS yoy, CASE WHEN yoy IS NULL THEN 'new' WHEN yoy >= 0.01 THEN 'up' WHEN yoy <= -0.01 THEN 'down' ELSE 'flat' END AS trend FROM x""")
 def noi11_hub_markets(spark, root):
     r = route_months(spark, root)
     return focus.hub_markets(r, largest_hub(r))
@@ -609,8 +609,8 @@ def noi13_two_entity_share(spark, root):
     return focus.two_entity_share(m, *two_largest(m))
 
 
-@query(f"""WITH {AIRPORT}, k AS (SELECT airport, p, passengers, row_number() OVER (PARTITION BY airport ORDER BY p) AS k FROM airport_m WHERE passengers IS NOT NULL),
-c AS (SELECT airport, max(passengers) FILTER (WHERE k <= 12) AS ceiling, count(*) AS n, min(p) AS first_p, arg_max(passengers, p) AS latest FROM k GROUP BY airport HAVING count(*) > 12),
+@query(f"""WITH {AIRPORT}, k AS (SELECT airport, p, passengers, row_number() OVER w AS k, p - lag(p) OVER w = 1 AS adj FROM airport_m WHERE passengers IS NOT NULL WINDOW w AS (PARTITION BY airport ORDER BY p)),
+c AS (SELECT airport, max(passengers) FILTER (WHERE k <= 12) AS ceiling, count(*) AS n, min(p) AS first_p, arg_max(passengers, p) AS latest FROM k GROUP BY airport HAVING count(*) >= 24 AND bool_or(adj)),
 b AS (SELECT c.*, min(k.p) FILTER (WHERE k.passengers >= c.ceiling * 4) AS breakout_p, max(k.passengers) AS peak FROM c JOIN k USING (airport) WHERE k.k > 12 AND c.ceiling > 0 GROUP BY ALL)
 SELECT airport, ceiling, breakout_p, CAST((breakout_p - first_p) // 12 AS INTEGER) AS quiet_years, peak, latest < peak * CAST(0.6 AS DOUBLE) AS receded FROM b WHERE breakout_p IS NOT NULL AND (breakout_p - first_p) // 12 >= 2""")
 def noi15_breakouts(spark, root):
@@ -618,7 +618,7 @@ def noi15_breakouts(spark, root):
 
 
 @query(f"""WITH {ROUTE}, {HUB}, r AS (SELECT route_m.*, hub FROM route_m, hub WHERE p > (SELECT max(p) - 12 FROM route_m)), e AS (SELECT airport, sum(n) AS volume FROM (SELECT origin AS airport, passengers AS n FROM r UNION ALL SELECT destination, passengers FROM r) GROUP BY airport HAVING sum(n) >= 100000),
-s AS (SELECT CASE WHEN origin = hub THEN destination ELSE origin END AS airport FROM r WHERE origin = hub OR destination = hub GROUP BY 1 HAVING sum(passengers) > 0) SELECT airport, CAST(volume AS BIGINT) AS volume FROM e WHERE airport NOT IN (SELECT airport FROM s) AND airport <> (SELECT hub FROM hub)""")
+s AS (SELECT CASE WHEN origin = hub THEN destination ELSE origin END AS airport FROM r WHERE origin = hub OR destination = hub GROUP BY 1 HAVING sum(passengers) > 0) SELECT airport, CAST(volume AS BIGINT) AS volume FROM e WHERE airport NOT IN (SELECT airport FROM s) AND airport <> (SELECT hub FROM hub) AND (SELECT count(*) FROM s) >= 30 AND (SELECT count(DISTINCT p) FROM r) = 12""")
 def noi16_white_space(spark, root):
     r = route_months(spark, root)
     return focus.white_space(r, largest_hub(r))

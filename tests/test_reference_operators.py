@@ -189,7 +189,11 @@ def test_white_space(spark):
     data = [("DEL", f"P{k:02d}", m, 20_000) for k in range(40) for m in range(12)] + [("DEL", "ZZZ", m, 0) for m in range(12)] + [("P00", "ZZZ", m, 20_000) for m in range(12)]
     r = spark.createDataFrame(data, "origin string, destination string, p int, passengers long")
     assert [x.airport for x in focus.white_space(r, "DEL").collect()] == ["ZZZ"]
-    assert len(focus.hub_markets(r, "DEL", n=50).collect()) == 41
+    assert focus.hub_markets(r, "DEL", n=50).collect() == []  # 24 months are asked for
+    older = r.select("origin", "destination", (F.col("p") - 12).alias("p"), (F.col("passengers") * 2).alias("passengers"))
+    menu = {x.partner: (x.latest, x.previous, x.trend) for x in focus.hub_markets(r.union(older), "DEL", n=50).collect()}
+    assert len(menu) == 41 and menu["P01"] == (240_000, 480_000, "down") and menu["ZZZ"] == (0, 0, "new")
+    assert focus.white_space(r.where("p > 0"), "DEL").collect() == []
 
 
 def test_catchment_compares_equal_sets_only(spark):
