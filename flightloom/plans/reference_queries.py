@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flightloom.functions import periods, text
+from flightloom.functions import keys, periods, text
 from flightloom.operators import canonical, dashboard, focus, resolve, windows
 from flightloom.plans.data_sql import AIRPORT, CARRIER, QUARTER, ROUTE
 from flightloom.quality import checks, revisions
 from flightloom.sources import links, manifest, sheets
-from flightloom.sources.tables import CARRIER_METRICS, SPECS, airport_months, airport_quarters, carrier_months, read_table, route_months
+from flightloom.sources.tables import CARRIER_METRICS, SPECS, airport_months, airport_quarters, carrier_months, read_table, route_months, rows_that_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -143,9 +143,6 @@ def jon07_month_with_year(spark, root):
 
 def _versions(spark, root):
     """Two published versions of the airport layer: as of the last delivery but one, and as of the last."""
-    from flightloom.sources.tables import rows_that_count
-    from flightloom.functions import keys
-
     raw = read_table(spark, root, "airport_monthly").select(keys.code("airport").alias("airport"), periods.month_ordinal("year", "month").alias("p"), "passengers", "departures", "arrivals", "load_no", "loaded_at")
     last = raw.agg(F.max("load_no").alias("last"))
     cut = raw.join(F.broadcast(last), F.col("load_no") < F.col("last"))

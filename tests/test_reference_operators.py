@@ -376,3 +376,38 @@ def test_deliveries_as_a_stream(spark, tmp_path):
     run_deliveries(spark, stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ["v"]).awaitTermination()
     last = sorted((tmp_path / "out").glob("version=*"))[-1]
     assert {(r.k, r.v) for r in spark.read.parquet(str(last)).collect()} == {("a", 5), ("b", 2), ("c", 3)}
+
+
+# --- assumptions
+
+
+def test_verdicts(spark):
+    from flightloom.quality import ledger as L
+
+    monthly = panel(spark, [("BIG", 1, 10), ("SMALL", 1, 3)])
+    labels = spark.createDataFrame([("old", 1), ("New", 2), ("x", 3), ("Y", 3)], "label string, p int")
+    carriers = spark.createDataFrame([("One Air",)], "airline string")
+    ctx = L.Context(monthly, labels, carriers, {"DUO": frozenset({"X", "Y"})})
+    asked = [
+        L.Assumption("a", "size-ordering-holds", {"bigger": "BIG", "smaller": "SMALL"}),
+        L.Assumption("b", "size-ordering-holds", {"bigger": "SMALL", "smaller": "BIG"}),
+        L.Assumption("c", "size-ordering-holds", {"bigger": "BIG", "smaller": "GONE"}),
+        L.Assumption("d", "distinct-airports-not-merged", {"airports": ["BIG", "GONE"]}),
+        L.Assumption("e", "month-disjoint-rename", {"labels": ["OLD", "NEW"]}),
+        L.Assumption("f", "month-disjoint-rename", {"labels": ["X", "Y"]}),
+        L.Assumption("g", "month-disjoint-rename", {"labels": ["none"]}),
+        L.Assumption("h", "concurrent-merge-declared", {"airport": "DUO", "labels": ["x", "y"]}, ("DUO",)),
+        L.Assumption("i", "concurrent-merge-declared", {"airport": "ELSE", "labels": ["x", "y"]}),
+        L.Assumption("j", "concurrent-merge-declared", {"airport": "DUO", "labels": ["old", "new"]}),
+        L.Assumption("k", "airlines-linked-not-collapsed", {"airlines": ["One Air"]}, (), "2024-01"),
+        L.Assumption("l", "no-such-test"),
+        L.Assumption("m", "size-ordering-holds", {}),
+    ]
+    got = {r.id: r.verdict for r in L.evaluate(asked, ctx, "2025-01").collect()}
+    want = "HOLDS TRIGGERED TRIGGERED TRIGGERED HOLDS TRIGGERED ORPHANED HOLDS TRIGGERED ORPHANED STALE TRIGGERED TRIGGERED".split()
+    assert got == dict(zip("abcdefghijklm", want))
+    assert L.evaluate([L.Assumption("n", "airlines-linked-not-collapsed", {"airlines": ["One Air"]})], L.Context(monthly, labels, carriers.limit(0)), "2025-01").first().verdict == "ORPHANED"
+    both = spark.createDataFrame([("DUO", 3, ["X", "Y"]), ("TRE", 3, ["P", "Q"])], "canonical string, p int, labels array<string>")
+    assert [(r.canonical, r.labels) for r in L.uncovered_merges(both, asked).collect()] == [("TRE", ["P", "Q"])]
+    unmapped = spark.createDataFrame([("WAKANDA", 1)], "label string, years int")
+    assert [(r.kind, r.key, r.months) for r in L.worklist(both, unmapped, asked).collect()] == [("undeclared_concurrent", "TRE", [3]), ("unmapped_high_volume", "WAKANDA", [])]
