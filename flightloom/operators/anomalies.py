@@ -34,7 +34,7 @@ class Rule:
     jump: float
     longest: int = 2
     stuck: int = 4
-    slack: float = 0.87
+    slack: float = 0.79
     season: int = 12
 
 
