@@ -122,12 +122,27 @@ WATCHED = {
     "airport_international_quarterly": ([profile.ColumnCheck("quarter", 1.0, 4.0)], ["airport", "year", "passengers"]),
     "carrier_monthly": ([profile.ColumnCheck("passenger_load_factor", 0.0, 100.0, 0.001)], ["airline", "service_type", "year", "month"]),
 }
-#: For the whole profile, columns next to them.
+_COUNT = lambda c: profile.ColumnCheck(c, 0.0, None, 1.0)
+#: For the whole profile, all other measures next to them, and the routes.  Calendar columns tell every load apart by design,
+#: texts have no size: both are left to :func:`p7_tables`.
 PROFILED = {
-    "airport_monthly": ([*WATCHED["airport_monthly"][0], profile.ColumnCheck("departures", 0.0, None, 1.0), profile.ColumnCheck("arrivals", 0.0, None, 1.0)], WATCHED["airport_monthly"][1]),
-    "airport_international_quarterly": ([*WATCHED["airport_international_quarterly"][0], profile.ColumnCheck("passengers", 0.0, None, 1.0)], WATCHED["airport_international_quarterly"][1]),
-    "carrier_monthly": ([*WATCHED["carrier_monthly"][0], profile.ColumnCheck("weight_load_factor", 0.0, 100.0, 0.001), profile.ColumnCheck("passengers", 0.0, None, 1.0)], WATCHED["carrier_monthly"][1]),
+    "airport_monthly": ([*WATCHED["airport_monthly"][0], *map(_COUNT, ("departures", "arrivals"))], WATCHED["airport_monthly"][1]),
+    "domestic_route_monthly": ([_COUNT("passengers")], ["origin", "destination", "year", "month"]),
+    "airport_international_quarterly": ([*WATCHED["airport_international_quarterly"][0], *map(_COUNT, ("passengers", "departures", "arrivals"))], WATCHED["airport_international_quarterly"][1]),
+    "carrier_monthly": (
+        [*WATCHED["carrier_monthly"][0], profile.ColumnCheck("weight_load_factor", 0.0, 100.0, 0.001), _COUNT("passengers")]
+        + [profile.ColumnCheck(m, 0.0, None, 0.001) for m in CARRIER_METRICS if not m.endswith("_load_factor")],
+        WATCHED["carrier_monthly"][1],
+    ),
 }
+#: Patterns that the values of a column must match, and the tables whose columns are all profiled.
+_NUMBER, _SHARE = r"^[0-9]+(\.[0-9]+)?(E-?[0-9]+)?$", r"^(100(\.0+)?|[0-9]{1,2}(\.[0-9]+)?|[0-9](\.[0-9]+)?E-[0-9]+)$"
+PATTERNS = {
+    "year": r"^[0-9]{4}$", "month": r"^([1-9]|1[0-2])$", "quarter": r"^[1-4]$", "airport": r"^[A-Z]{5}$", "origin": r"^[A-Z]{5}$", "destination": r"^[A-Z]{5}$",
+    "airline": r"^\S(.*\S)?$", "service_type": r"^[a-z]+(_[a-z]+)*$", "passengers": r"^[0-9]+$", "departures": r"^[0-9]+$", "arrivals": r"^[0-9]+$",
+    **{m: _SHARE if m.endswith("_load_factor") else _NUMBER for m in CARRIER_METRICS},
+}
+LOADED = ("airport_monthly", "domestic_route_monthly", "carrier_monthly", "airport_international_quarterly")
 
 
 def _load_profile(spark: SparkSession, root: str, watched: dict) -> DataFrame:
@@ -151,4 +166,10 @@ def p7_columns(spark: SparkSession, root: str) -> DataFrame:
     return profile.column_profile(raw, "load_no", {"year": r"^[0-9]{4}$", "month": r"^([1-9]|1[0-2])$", "airport": r"^[A-Z]{5}$", "passengers": r"^[0-9]+$", "departures": r"^[0-9]+$", "arrivals": r"^[0-9]+$"})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_table, p3_trailing, p4_found, p4_changes, p5_found, p6_found, p6_flags, p7_found, p7_profile, p7_columns)}
+def p7_tables(spark: SparkSession, root: str) -> DataFrame:
+    """Every column of every table with loads; :func:`p7_columns` is the part of it that its SQL says."""
+    parts = [profile.column_profile(read_table(spark, root, t), "load_no", PATTERNS).select(F.lit(t).alias("table_name"), "*") for t in LOADED]
+    return reduce(DataFrame.unionByName, parts)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p2_found, p2_table, p3_trailing, p4_found, p4_changes, p5_found, p6_found, p6_flags, p7_found, p7_profile, p7_columns, p7_tables)}
