@@ -245,38 +245,63 @@ def with_header(sheets: DataFrame, target: Target, file: str = "file", row: str
     return joined.where("row_idx >= __h" if keep_header else "row_idx > __h").drop("__h")
 
 
-def _feed_changes(target: Target):
+def _read_feed(target: Target, pdf: pd.DataFrame):
+    """Each file of a feed in the order of time: its columns with their meanings, and the edit script from the file before it.
+
+    What a header is found to mean is kept for the files after it.
+    """
     known = target.lookup()
+    before: Node | None = None
+    learned: dict[str, str] = {}
+    for row in pdf.sort_values("p", kind="stable").itertuples(index=False):
+        leaves, seen = [], set()
+        for c in sorted(row.columns, key=lambda c: c["pos"]):
+            key = squash(c["header"])
+            if not key or key in seen:
+                continue
+            seen.add(key)
+            leaves.append(Node(c["header"], known.get(key) or learned.get(key), c["kind"], c["size"]))
+        now, script = Node(row.file, children=tuple(leaves)), []
+        if before is not None:
+            _, script = edit_distance(before, now)
+            for e in script:
+                if e.op == "rename" and e.old.meaning and not e.new.meaning:
+                    learned[squash(e.new.label)] = e.old.meaning
+            now = Node(row.file, children=tuple(Node(x.label, x.meaning or learned.get(squash(x.label)), x.kind, x.size) for x in leaves))
+        yield now, script, learned
+        before = now
 
+
+def _feed_changes(target: Target):
     def changes(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        before: Node | None = None
-        learned: dict[str, str] = {}
-        for row in pdf.sort_values("p", kind="stable").itertuples(index=False):
-            leaves, seen = [], set()
-            for c in sorted(row.columns, key=lambda c: c["pos"]):
-                key = squash(c["header"])
-                if not key or key in seen:
-                    continue
-                seen.add(key)
-                leaves.append(Node(c["header"], known.get(key) or learned.get(key), c["kind"], c["size"]))
-            now = Node(row.file, children=tuple(leaves))
-            if before is not None:
-                _, script = edit_distance(before, now)
-                for e in script:
-                    if e.op == "rename" and e.old.meaning and not e.new.meaning:
-                        learned[squash(e.new.label)] = e.old.meaning
-                now = Node(row.file, children=tuple(Node(x.label, x.meaning or learned.get(squash(x.label)), x.kind, x.size) for x in leaves))
-                for e in script:
-                    end = e.new or e.old
-                    name = end.meaning or (e.old and e.old.meaning) or learned.get(squash(end.label)) or snake(end.label)
-                    out.append((row.file, name, {"add": "added", "delete": "removed", "rename": "renamed", "retype": "retyped", "move": "moved"}[e.op], e.old and e.old.label, e.new and e.new.label, e.old and e.old.kind, e.new and e.new.kind))
-            before = now
+        for now, script, learned in _read_feed(target, pdf):
+            for e in script:
+                end = e.new or e.old
+                name = end.meaning or (e.old and e.old.meaning) or learned.get(squash(end.label)) or snake(end.label)
+                out.append((now.label, name, {"add": "added", "delete": "removed", "rename": "renamed", "retype": "retyped", "move": "moved"}[e.op], e.old and e.old.label, e.new and e.new.label, e.old and e.old.kind, e.new and e.new.kind))
         return pd.DataFrame(out, columns=["file", "field", "change_kind", "old_header", "new_header", "old_type", "new_type"])
 
     return changes
 
 
+def _feed_learned(target: Target):
+    known = target.lookup()
+
+    def learned(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for now, _, _ in _read_feed(target, pdf):
+            listed = {x.meaning for x in now.children if squash(x.label) in known}
+            first: dict[str, str] = {}
+            for x in now.children:
+                if x.meaning and x.meaning not in listed:
+                    first.setdefault(x.meaning, x.label)
+            out += [(now.label, f, h) for f, h in first.items()]
+        return pd.DataFrame(out, columns=["file", "field", "header"])
+
+    return learned
+
+
 _CHANGES = "file string, field string, change_kind string, old_header string, new_header string, old_type string, new_type string"
 
 
@@ -291,31 +316,43 @@ def schema_changes(columns: DataFrame, target: Target, feed: Column, period: Col
 
     One small row per file reaches Python; a feed has at most one file per period.
     """
+    return _by_feed(columns, target, feed, period).applyInPandas(_feed_changes(target), _CHANGES)
+
+
+def learned_headers(columns: DataFrame, target: Target, feed: Column, period: Column) -> DataFrame:
+    """Headers outside the known ones and the fields they stand for: (file, field, header), in every file that carries them.
+
+    Arguments as for :func:`schema_changes`.  A header found to rename a field keeps that meaning in all
+    later files of the feed; a file that has the field under a known header too takes that one.
+    """
+    return _by_feed(columns, target, feed, period).applyInPandas(_feed_learned(target), "file string, field string, header string")
+
+
+def _by_feed(columns: DataFrame, target: Target, feed: Column, period: Column):
     fields = columns.where(~F.lower(F.trim("header")).isin(list(target.keys)))
     per_file = fields.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "header", "kind", "size"))).alias("columns"))
     placed = per_file.withColumn("feed", feed).withColumn("p", period).where("feed IS NOT NULL AND p IS NOT NULL")
-    return placed.groupBy("feed").applyInPandas(_feed_changes(target), _CHANGES)
+    return placed.groupBy("feed")
 
 
-def consistent_table(sheets: DataFrame, target: Target, changes: DataFrame | None = None) -> DataFrame:
+def consistent_table(sheets: DataFrame, target: Target, learned: DataFrame | None = None) -> DataFrame:
     """All files in one table: file, row_idx, the key columns as text, and one double per field.
 
     The projection of a file follows from its header: every field looks up the position of
-    one of its headers, among them those that ``changes`` found to be renamings of it.
+    one of its headers, among them those that ``learned`` (see :func:`learned_headers`) names for the file.
     Units named in a header are converted, percent signs, unit words and
     thousands separators are read over, and cells without a value are null.
     """
     body = with_header(sheets, target)
     clean = lambda x: F.regexp_replace(F.lower(x), "[^a-z0-9]", "")
     body = body.withColumn("__h", F.transform("header", clean))
-    if changes is not None:
-        renamed = changes.where("change_kind = 'renamed'").select("file", "field", clean(F.col("new_header")).alias("h"))
-        extra = renamed.groupBy("file").agg(F.map_from_entries(F.collect_set(F.struct("field", "h"))).alias("__r"))
+    if learned is not None:
+        extra = learned.groupBy("file").agg(F.map_from_entries(F.collect_set(F.struct("field", clean(F.col("header"))))).alias("__r"))
         body = body.join(extra, "file", "left")
     out = []
     for name, headers in target.aliases.items():
         options = F.array(*(F.lit(squash(h)) for h in (name, *headers)))
-        if changes is not None:
+        if learned is not None:
             own = F.element_at("__r", F.lit(name))
             options = F.when(own.isNotNull(), F.array_union(options, F.array(own))).otherwise(options)
         known = F.array_intersect("__h", options)

@@ -40,10 +40,14 @@ def _sheet_columns(spark: SparkSession, root: str) -> DataFrame:
     return schema_drift.file_columns(read_table(spark, root, "sheet_rows"), CARRIER_FILES)
 
 
-def _sheet_changes(spark: SparkSession, root: str) -> DataFrame:
+def _per_feed(spark: SparkSession, root: str, read) -> DataFrame:
     part = lambda k: F.regexp_extract("file", r"^carrier_(.+)_(\d{4})_(\d{1,2})\.xlsx$", k)
     feed = F.when(part(1) != "", part(1))
-    return schema_drift.schema_changes(_sheet_columns(spark, root), CARRIER_FILES, feed, periods.month_ordinal(part(2).try_cast("int"), part(3).try_cast("int")))
+    return read(_sheet_columns(spark, root), CARRIER_FILES, feed, periods.month_ordinal(part(2).try_cast("int"), part(3).try_cast("int")))
+
+
+def _sheet_changes(spark: SparkSession, root: str) -> DataFrame:
+    return _per_feed(spark, root, schema_drift.schema_changes)
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
@@ -51,7 +55,7 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, root: str) -> DataFrame:
-    table = schema_drift.consistent_table(read_table(spark, root, "sheet_rows"), CARRIER_FILES, _sheet_changes(spark, root))
+    table = schema_drift.consistent_table(read_table(spark, root, "sheet_rows"), CARRIER_FILES, _per_feed(spark, root, schema_drift.learned_headers))
     return table.select(
         "file", "row_idx", "airline", keys.service_type("type").alias("service_type"), F.col("year").try_cast("int").alias("year"), F.col("month").try_cast("int").alias("month"),
         F.round("passengers").cast("long").alias("passengers"), *CARRIER_METRICS,

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from flightloom.functions import periods
-from flightloom.operators.schema_drift import Node, Target, assign, consistent_table, edit_distance, file_columns, schema_changes, snake, squash
+from flightloom.operators.schema_drift import Node, Target, assign, consistent_table, edit_distance, file_columns, learned_headers, schema_changes, snake, squash
 from pyspark.sql import functions as F
 
 TARGET = Target(keys=("airline", "type", "year", "month"), aliases={"passengers": ("Pax",), "freight_tonnes": ("Freight", "Freight in Kg"), "load_factor": ("PLF",)}, units={"Freight in Kg": 0.001}, comma_decimals=("load_factor",))
@@ -85,3 +85,20 @@ def test_consistent_table(spark):
 @pytest.mark.parametrize("text,want", [(" Block  Hours ", "block_hours"), ("Post (t)", "post_t"), (None, "")])
 def test_snake(text, want):
     assert snake(text) == want and squash(text) == want.replace("_", "")
+
+
+def test_learned_header_is_read_in_every_later_file(spark):
+    files = {
+        ("a", 2023, 1): [[*HEAD, "Freight", "Pax"], [*KEY, "100.5", "10"]],
+        ("a", 2023, 2): [[*HEAD, "Freight lifted", "Pax"], [*KEY, "101.5", "11"]],
+        ("a", 2023, 3): [[*HEAD, "Pax", "FREIGHT  Lifted"], [*KEY, "12", "102.5"]],
+        ("a", 2023, 5): [[*HEAD, "Freight lifted", "Freight"], [*KEY, "1.5", "103.5"]],
+        ("a", 2023, 6): [[*HEAD, "Freight lifted"], [*KEY, "104.5"]],
+        ("b", 2023, 3): [[*HEAD, "Freight lifted"], [*KEY, "105.5"]],
+    }
+    part = lambda k: F.regexp_extract("file", r"^carrier_(.+)_(\d{4})_(\d{1,2})\.xlsx$", k)
+    raw = sheets(spark, files)
+    learned = learned_headers(file_columns(raw, TARGET), TARGET, part(1), periods.month_ordinal(part(2).try_cast("int"), part(3).try_cast("int")))
+    got = {r.file[8:-5]: (r.freight_tonnes, r.passengers) for r in consistent_table(raw, TARGET, learned).collect()}
+    assert got == {"a_2023_01": (100.5, 10.0), "a_2023_02": (101.5, 11.0), "a_2023_03": (102.5, 12.0), "a_2023_05": (103.5, None), "a_2023_06": (104.5, None), "b_2023_03": (None, None)}
+    assert learned_headers(file_columns(raw.limit(0), TARGET), TARGET, part(1), F.lit(1)).collect() == []
