@@ -43,6 +43,8 @@ BITS, DISTANCE = 64, 0.40
 #: their weight less the penalty of the wrong ones, and their share of the weight of all.  A passage of ``WINDOW`` words
 #: may have a wrong word at an end or next to it, which the alignment cannot claim.
 LEAST_WORDS, LEAST_WEIGHT, LEAST_SHARE = 13, 20.0, 0.78
+#: Words weigh less where there are fewer items; below this many the least weight falls with the weight of a word of one item.
+WEIGHED_ITEMS = 300
 #: Penalty of a wrong word against the weight of a right one.
 PENALTY = 1.3
 #: Bytes of item text that one pass over the documents holds.
@@ -84,6 +86,7 @@ class Index:
     items: dict[int, Item]
     #: where each piece stands: item, first word, number of words
     pieces: dict[str, list[tuple[int, int, int]]]
+    least_weight: float = LEAST_WEIGHT
 
     def automaton(self) -> "ahocorasick.Automaton":
         if not hasattr(self, "_automaton"):
@@ -95,7 +98,7 @@ class Index:
         return self._automaton
 
     def __getstate__(self):
-        return {"items": self.items, "pieces": self.pieces}
+        return {"items": self.items, "pieces": self.pieces, "least_weight": self.least_weight}
 
 
 def build_index(rows: list[tuple[int, str]], frequency: Counter | None = None, total: int | None = None) -> Index:
@@ -126,7 +129,8 @@ def build_index(rows: list[tuple[int, str]], frequency: Counter | None = None, t
                 if k + n <= len(i.words) and (found[n - PIECE][p] <= COMMON or n == LONGEST_PIECE):
                     pieces.setdefault(p, []).append((item_id, k, n))
                     break
-    return Index(items, pieces)
+    rare = lambda n: math.log(n + 1) + 0.3
+    return Index(items, pieces, LEAST_WEIGHT * min(1.0, rare(total) / rare(WEIGHED_ITEMS)))
 
 
 def myers(patterns: list[str], texts: list[str]) -> np.ndarray:
@@ -247,6 +251,13 @@ def passage(item: Item, k: int, size: int, text: str, at: int) -> tuple[int, int
     return high - low, sum(states[low:high]), float(matched - PENALTY * (whole - matched)), float(matched / whole) if whole else 0.0
 
 
+def verbatim(item: Item, text: str, at: int) -> bool:
+    """Whether ``WINDOW`` words of the item stand unaltered in the text around ``at``: a passage whatever they weigh."""
+    near = text[max(0, at - len(item.text)) : at + len(item.text)]
+    ends = [*item.starts[WINDOW:], len(item.text)] if len(item.words) >= WINDOW else []
+    return any(item.text[a:b] in near for a, b in zip(item.starts, ends))
+
+
 def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]:
     """(position of the text, item) of every text that carries a passage of an item."""
     automaton = index.automaton()
@@ -285,10 +296,13 @@ def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]
     passed = distance.reshape(-1, 3).min(axis=1) <= DISTANCE
     done: set[tuple[int, int]] = set()
     for ok, (row, item_id, k, n, at, text) in zip(passed, candidates):
-        if not ok or (row, item_id) in done:
+        if (row, item_id) in done:
             continue
-        words, right, weight, share = passage(index.items[item_id], k, n, text, at)
-        if (right >= LEAST_WORDS or right == LEAST_WORDS - 1 and words > LEAST_WORDS) and weight >= LEAST_WEIGHT and share >= LEAST_SHARE:
+        leaks = False
+        if ok:
+            words, right, weight, share = passage(index.items[item_id], k, n, text, at)
+            leaks = (right >= LEAST_WORDS or right == LEAST_WORDS - 1 and words > LEAST_WORDS) and weight >= index.least_weight and share >= LEAST_SHARE
+        if leaks or verbatim(index.items[item_id], text, at):
             done.add((row, item_id))
             yield row, item_id
 

@@ -96,3 +96,17 @@ def test_myers_equals_dynamic_programming(alphabet):
 @pytest.mark.parametrize("a,b", [("Ab-c 1,234!", "abc1234"), ("ＡＢ­​c", "abc"), ("Élan ﬁve", "elanfive"), ("", "")])
 def test_squash(a, b):
     assert L.squash(a) == b
+
+
+def test_passages_of_a_single_item(spark):
+    altered = slice_of(0, 5, 35)
+    for k in (9, 20):
+        altered[k] = "zzzz"
+    docs = [inside(" ".join(slice_of(0, 20, 35))), inside(" ".join(slice_of(0, 0, 15))), inside(" ".join(altered[:18])), inside(" ".join(slice_of(0, 0, 10))), inside(" ".join(slice_of(1, 0, 30)))]
+    assert leaks(spark, docs, ITEMS[:1]) == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_verbatim_passage_of_words_that_all_items_share(spark):
+    shared = " ".join(text(16, 900))
+    items = [(i, shared + " " + " ".join(text(30, 1000 + i))) for i in range(8)]
+    assert leaks(spark, [inside(shared), inside(" ".join(shared.split()[:10]))], items) == {(0, i) for i in range(8)}
