@@ -1,9 +1,11 @@
 """Planted anomalies and faulty loads."""
 
+import itertools
 import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from flightloom.operators import anomalies as A
@@ -66,11 +68,96 @@ def test_nothing_known(spark):
     assert run(spark, {("pax", "a", 1): None, ("other", "a", 1): 5.0, ("pax", "a", 2): 7.0}) == {}
 
 
-def test_posterior_sums_to_one():
-    z = np.array([[0.0, 0.2, 5.0, 0.1]])
-    e = A._emissions(z, np.array([[0.1]]), np.zeros((1, 4), bool), np.zeros((1, 4), bool), np.ones((1, 4), bool))
-    p = A._posterior(e)
-    assert np.allclose(p.sum(axis=2), 1) and p[0].argmax(axis=1).tolist() == [0, 0, 1, 0]
+def _paths(e, entry):
+    """State probabilities by adding up every path."""
+    n, k = len(e), A.STATES
+    step = A._SHARED + A._FREE[:, None] * entry
+    total = np.zeros((n, k))
+    for path in itertools.product(range(k), repeat=n):
+        if path[-1] in A._UNFINISHED:
+            continue
+        w = entry[path[0]] * e[0, path[0]]
+        for t in range(1, n):
+            w *= step[path[t - 1], path[t]] * e[t, path[t]]
+            if not w:
+                break
+        for t, s in enumerate(path):
+            total[t, s] += w
+    return total / total.sum(axis=1, keepdims=True)
+
+
+def test_forward_backward_equals_all_paths():
+    z = np.array([[0.0, 1.3, 1.6, 0.1]])
+    flags = lambda *on: np.array([[k in on for k in range(4)]])
+    own = A._first_guess(z)
+    for equal, out, known in ((flags(), flags(), flags(0, 1, 2, 3)), (flags(1, 2, 3), flags(), flags(0, 1, 2, 3)), (flags(), flags(2), flags(0, 2, 3))):
+        e = A._emissions(np.where(known & ~out, z, np.nan), own, equal, out, known)
+        assert np.allclose(A._posterior(e, own.entry)[0], _paths(e[0], own.entry[0]), atol=1e-9)
+
+
+def test_lengths_are_part_of_the_chain():
+    """One or two periods are a spike, three are a movement; three equal steps are stuck, two are not."""
+
+    def flags(z, equal):
+        z = np.array([z], float)
+        own = A._first_guess(np.zeros_like(z) + 0.05)
+        equal = np.array([equal], bool)
+        p = A._posterior(A._emissions(z, own, equal, np.zeros(z.shape, bool), np.ones(z.shape, bool)), own.entry)[0]
+        return A._FLAG[[int(x) for x in p.argmax(axis=1)]].tolist()
+
+    none = [0] * 8
+    assert flags([0, 0, 2, 0, 0, 0, 0, 0], none) == [0, 0, A.SPIKE, 0, 0, 0, 0, 0]
+    assert flags([0, 0, -2, -2, 0, 0, 0, 0], none) == [0, 0, A.SPIKE, A.SPIKE, 0, 0, 0, 0]
+    assert flags([0, 0, 2, 2, 2, 0, 0, 0], none) == none
+    assert flags([0] * 8, [0, 0, 1, 1, 1, 0, 0, 0]) == [0, 0, A.STUCK, A.STUCK, A.STUCK, 0, 0, 0]
+    assert flags([0] * 8, [0, 0, 1, 1, 0, 0, 0, 0]) == none
+
+
+def test_what_is_implausible_depends_on_the_source(spark):
+    """The same departure is a spike of a calm source and nothing of a noisy one."""
+    rng = random.Random(4)
+    calm = {("lf", f"c{s}", t): 60 + rng.uniform(-0.4, 0.4) for s in range(12) for t in range(60)}
+    noisy = {("lf", "n", t): 50 + rng.choice((-1, 1)) * rng.expovariate(1 / 7.0) for t in range(60)}
+    calm["lf", "c3", 30] = 60 + 25.5
+    noisy["lf", "n", 30] = float(np.median([v for v in noisy.values()])) + 27.0
+    assert run(spark, calm | noisy) == {("lf", "c3", 30): "spike"}
+
+
+def test_rows_come_from_the_posterior(spark, monkeypatch):
+    """Without forward-backward, states told from one period each, other rows come out."""
+    data = series(n_sources=6)
+    for t in (30, 31, 32):
+        data["lf", "s2", t] = 10.0 + t
+    rules = {"lf": RULES["lf"]}
+    rows = pd.DataFrame([(m, s, 0, t, v, 0.0) for (m, s, t), v in sorted(data.items()) if m == "lf" and not 19 < t < 22], columns=["measure", "source", "__b", "period", "value", "network"])
+    whole = set(A._flag_rows(rows, rules)["period"])
+    monkeypatch.setattr(A, "_posterior", lambda e, entry: e * entry[:, None, :] / (e * entry[:, None, :]).sum(axis=2, keepdims=True))
+    assert not whole and {30, 31} <= set(A._flag_rows(rows, rules)["period"])
+
+
+def test_blocks_chunks_and_batches_do_not_change_flags(spark, monkeypatch):
+    data = series(n_sources=9)
+    data["pax", "s0", 33] *= 9
+    data["lf", "s1", 50] = 2.0
+    for t in range(29, 34):
+        data["lf", "s5", t] = 61.5
+    whole = run(spark, data)
+    rows = pd.DataFrame([(m, s, t, float(v)) for (m, s, t), v in data.items()], columns=["measure", "source", "period", "value"])
+    rows["network"], rows["__b"] = 0.0, 0
+    rows = rows[rows["measure"] == "lf"].sort_values(["measure", "source", "__b", "period"])
+    one = A._flag_rows(rows, RULES)
+    monkeypatch.setattr(A, "CELLS", 70)
+    monkeypatch.setattr(A, "ROWS", 37)
+    many = pd.concat(list(A._flag_batches(RULES)(rows.iloc[k : k + 23] for k in range(0, len(rows), 23))))
+    key = ["source", "period", "flag"]
+    assert sorted(map(tuple, one[key].values.tolist())) == sorted(map(tuple, many[key].values.tolist()))
+    monkeypatch.setattr(A, "BLOCK", 40)
+    assert run(spark, data) == whole and len(whole) == 6
+
+
+def test_a_stray_year_costs_no_memory():
+    first, last = np.array([0, 5, 24_000, 0]), np.array([100, 110, 24_100, 90])
+    assert list(A._chunks(first, last)) == [(0, 2), (2, 3), (3, 4)]
 
 
 def loads(spark, rows):
