@@ -6,15 +6,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from flightloom.session import cut_lineage
 
 #: Significant digits to which medians are kept; bounds the state of a column.
 DIGITS = 3
-#: Discrimination (area under the curve) from which a load counts as different.
-DIFFERENT = 0.55
+#: Discrimination (area under the curve) from which a load counts as different, and the part of it that a column must explain.
+DIFFERENT, EXPLAINS = 0.60, 0.02
 
 
 @dataclass(frozen=True)
@@ -64,48 +65,29 @@ def load_cells(df: DataFrame, table: str, load: str, checks: list[ColumnCheck])
     )
 
 
-def _weighted_median(v: np.ndarray, n: np.ndarray) -> float:
-    """Median of values with counts, the mean of the middle two if their number is even."""
-    if not n.sum():
-        return np.nan
-    order = np.argsort(v, kind="stable")
-    v, upto = v[order], np.cumsum(n[order])
-    total = upto[-1]
-    low, high = np.searchsorted(upto, [(total - 1) // 2, total // 2], side="right")
-    return float((v[low] + v[high]) / 2)
+def _others(cells: DataFrame) -> DataFrame:
+    """Median of each load and of all rows of other loads, per table and column: (..., median, median_of_others).
 
+    Values are kept to ``DIGITS`` significant digits, so a column has a bounded number of them; every load
+    is laid over all values of its column, and running counts give both ranks.
+    """
+    column, load = ["table_name", "column_name"], ["table_name", "column_name", "load_no"]
+    own = cells.where("value IS NOT NULL").groupBy(*load, "value").agg(F.sum("n").alias("own"))
+    values = own.groupBy(*column, "value").agg(F.sum("own").alias("every"))
+    # loads of nulls have other loads too
+    grid = cells.select(*load).distinct().join(values, column).join(own, [*load, "value"], "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    grid = grid.withColumn("other", F.col("every") - F.col("own"))
+    upto, whole = Window.partitionBy(*load).orderBy("value").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*load)
+    ranked = grid
+    for c in ("own", "other"):
+        ranked = ranked.withColumn(f"{c}_upto", F.sum(c).over(upto)).withColumn(f"{c}_all", F.sum(c).over(whole))
 
-_PROFILE = (
-    "table_name string, column_name string, load_no int, n_rows long, n_null long, n_outside long, least double, most double, median double, "
-    "median_of_others double, top_digit_share double"
-)
-
+    def median(c: str):
+        # the mean of the middle two if the number of rows is even
+        at = lambda rank: F.min(F.when((F.col(f"{c}_all") > 0) & (F.col(f"{c}_upto") >= rank), F.col("value")))
+        return (at(F.floor((F.col(f"{c}_all") + 1) / 2)) + at(F.floor(F.col(f"{c}_all") / 2) + 1)) / 2
 
-def _profile_column(cells: pd.DataFrame) -> pd.DataFrame:
-    loads = np.unique(cells["load_no"].to_numpy())
-    which, n = np.searchsorted(loads, cells["load_no"].to_numpy()), cells["n"].to_numpy(float)
-    value, null = cells["value"].fillna(0.0).to_numpy(), cells["value"].isna().to_numpy()
-    out = []
-    for k, load in enumerate(loads):
-        own = which == k
-        have = own & ~null
-        digits = np.bincount(cells["digit"].to_numpy()[have].astype(int), n[have], 10) if have.any() and cells["digit"].notna().any() else np.zeros(10)
-        out.append(
-            {
-                "table_name": cells["table_name"].iloc[0],
-                "column_name": cells["column_name"].iloc[0],
-                "load_no": load,
-                "n_rows": int(n[own].sum()),
-                "n_null": int(n[own & null].sum()),
-                "n_outside": int(n[own & cells["bad"].to_numpy()].sum()),
-                "least": cells["least"][have].min(),
-                "most": cells["most"][have].max(),
-                "median": _weighted_median(value[have], n[have]),
-                "median_of_others": _weighted_median(value[~own & ~null], n[~own & ~null]),
-                "top_digit_share": digits.max() / digits.sum() if digits.sum() else np.nan,
-            }
-        )
-    return pd.DataFrame(out).astype({"load_no": "int32"})
+    return ranked.groupBy(*load).agg(median("own").alias("median"), median("other").alias("median_of_others"))
 
 
 def base_profile(cells: DataFrame) -> DataFrame:
@@ -115,81 +97,101 @@ def base_profile(cells: DataFrame) -> DataFrame:
     median of the load and of all other loads (to ``DIGITS`` significant digits), and the share
     of the commonest last digit.  Rows without a load are left out, repeated rows count as
     they come, a load of nulls has no median, an empty table gives no rows.
+
+    Counts of like cells are few however many rows there are; they are written once and read for each figure.
     """
-    return cells.groupBy("table_name", "column_name").applyInPandas(_profile_column, _PROFILE)
+    cells = cut_lineage(cells)
+    load = ["table_name", "column_name", "load_no"]
+    null = F.col("value").isNull()
+    figures = cells.groupBy(*load).agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("n_null"),
+        F.coalesce(F.sum(F.when(F.col("bad"), F.col("n"))), F.lit(0)).alias("n_outside"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+    )
+    digits = cells.where("digit IS NOT NULL").groupBy(*load, "digit").agg(F.sum("n").alias("n")).groupBy(*load).agg((F.max("n") / F.sum("n")).alias("top_digit_share"))
+    return figures.join(_others(cells), load, "left").join(digits, load, "left").select(*load, "n_rows", "n_null", "n_outside", "least", "most", "median", "median_of_others", "top_digit_share")
 
 
 # --- classifier two-sample test ---------------------------------------------------------------
 
-#: Features of a column: null, outside, size, size squared, ten last digits.
+#: Features of a column, by the kind of change that they show: null, outside the domain, size and its square, ten last digits.
+KINDS = {"nulls": slice(0, 1), "domain": slice(1, 2), "scale": slice(2, 4), "precision": slice(4, 14)}
 PER_COLUMN = 14
-NEWTON_STEPS, RIDGE = 5, 1e-3
+#: Rows of a load and table on which the models are fitted, about, drawn by a hash of the row; all rows are scored.
+FITTED_ROWS = 10_000
+STEPS, RIDGE = 3, 1e-3
+#: Rows of the sample in a partition.
+ROWS_PER_TASK = 25_000
 #: Scores are counted in bins of this width (in logits) up to this many on either side.
-SCORE_BIN, SCORE_BINS = 0.02, 400
-MAX_LOADS = 5_000
+SCORE_BIN, SCORE_BINS = 0.15, 32
+#: Models trained in one pass; more loads are worked off in several passes.
+LOADS_PER_PASS = 128
 
 
-def training_cells(df: DataFrame, table: str, load: str, checks: list[ColumnCheck], identity: list[str]) -> DataFrame:
-    """Rows that are alike to the classifier, with their number: (table_name, load_no, fold, f, n).
+def features(df: DataFrame, table: str, load: str, checks: list[ColumnCheck], identity: list[str]) -> DataFrame:
+    """What the classifier reads of each row: (table_name, load_no, fold, u, f).
 
-    ``f`` holds per column whether it is null, outside its domain, its signed logarithmic size in quarters,
-    and its last digit.  The counts are a sufficient statistic: training on them is training on all rows.
+    ``f`` holds per column whether it is null, outside its domain, its signed logarithmic size, and its
+    last digit (-1 for none).  ``fold`` and the uniform number ``u`` are hashes of the row's identity, so repeated rows stay together.
     """
-    def features(c: ColumnCheck):
+    def cells(c: ColumnCheck):
         v = F.col(c.column).cast("double")
         bad = F.lit(False)
         if c.lower is not None:
             bad = bad | (v < c.lower)
         if c.upper is not None:
             bad = bad | (v > c.upper)
-        size = F.signum(v) * F.round(F.log1p(F.abs(v)) * 4) / 4
         digit = F.lit(-1) if c.last_digit_unit is None else F.coalesce((F.round(F.abs(v) / F.lit(c.last_digit_unit)).cast("long") % 10).cast("int"), F.lit(-1))
-        return F.struct(v.isNull().alias("null"), F.coalesce(bad, F.lit(False)).alias("bad"), F.coalesce(size, F.lit(0.0)).alias("size"), digit.alias("digit"))
+        return [v.isNull(), F.coalesce(bad, F.lit(False)), F.coalesce(F.signum(v) * F.log1p(F.abs(v)), F.lit(0.0)), digit]
 
-    fold = F.pmod(F.xxhash64(*identity), F.lit(2)).cast("int").alias("fold")
-    rows = df.select(F.lit(table).alias("table_name"), F.col(load).cast("int").alias("load_no"), fold, F.array(*(features(c) for c in checks)).alias("f")).where("load_no IS NOT NULL")
-    return rows.groupBy("table_name", "load_no", "fold", "f").agg(F.count(F.lit(1)).alias("n"))
+    code = F.xxhash64(*identity)
+    u = (F.shiftrightunsigned(code, 12).cast("double") + 0.5) / F.lit(float(2**52))
+    f = F.array(*(x.cast("float") for c in checks for x in cells(c)))
+    return df.select(F.lit(table).alias("table_name"), F.col(load).cast("int").alias("load_no"), F.pmod(code, F.lit(2)).cast("int").alias("fold"), u.alias("u"), f.alias("f")).where("load_no IS NOT NULL")
 
 
 def _design(f: pd.Series) -> np.ndarray:
     """Design matrix: an intercept, then ``PER_COLUMN`` features for each column."""
-    rows = [np.array([(x["null"], x["bad"], x["size"], x["digit"]) for x in r], dtype=float) for r in f]
-    cells = np.stack(rows)
+    cells = np.stack(f.to_numpy()).astype(float).reshape(len(f), -1, 4)
     size = np.where(cells[:, :, 0] > 0, 0.0, (cells[:, :, 2] - 8.0) / 4.0)
-    digits = (cells[:, :, 3, None] == np.arange(10)).astype(float)
+    digits = cells[:, :, 3, None] == np.arange(10)
     parts = np.concatenate([cells[:, :, :2], size[:, :, None], (size**2)[:, :, None], digits], axis=2)
-    return np.hstack([np.ones((len(rows), 1)), parts.reshape(len(rows), -1)])
+    return np.hstack([np.ones((len(f), 1)), parts.reshape(len(f), -1)])
 
 
 @dataclass
 class _Task:
-    """What every task of a pass knows of one table: its loads, their sizes, and a model per fold and load."""
+    """What every task of a pass knows of one table: the loads whose models it works on, and of all loads their rows."""
 
-    loads: np.ndarray
-    size: np.ndarray  # (fold, load)
-    beta: np.ndarray  # (fold, load, feature)
+    models: np.ndarray  # loads with a model in this pass
+    rows: dict[int, int]  # rows of every load
+    beta: np.ndarray  # (fold, model, feature)
 
+    @property
+    def total(self) -> int:
+        return sum(self.rows.values())
 
-def _weights(task: _Task, fold: int, which: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each row for each load's model, and weights under which both classes weigh 1."""
-    own = which[:, None] == np.arange(len(task.loads))
-    rest = task.size[fold].sum() - task.size[fold]
-    return own, n[:, None] * np.where(own, 1.0 / np.maximum(task.size[fold], 1), 1.0 / np.maximum(rest, 1))
+    def weights(self, load_no: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class of each fitted row for each model, and weights under which both classes weigh about 1."""
+        loads, at = np.unique(load_no, return_inverse=True)
+        drawn = np.array([max(1.0, self.rows[x] / FITTED_ROWS) for x in loads.tolist()])[at]
+        size = np.array([self.rows[x] for x in self.models.tolist()], dtype=float)
+        own = load_no[:, None] == self.models
+        return own, drawn[:, None] * np.where(own, 2.0 / size, 2.0 / np.maximum(self.total - size, 1.0))
 
 
-def _newton_sums(tasks: dict[str, _Task]):
+def _per_model(tasks: dict[str, _Task], work):
+    """Sums of vectors by (table, fold, model) over a partition, added up batch by batch."""
+
     def run(batches):
         sums: dict[tuple[str, int, int], np.ndarray] = {}
         for pdf in batches:
             for (table, fold), part in pdf.groupby(["table_name", "fold"], sort=False):
-                task = tasks[table]
-                x, n = _design(part["f"]), part["n"].to_numpy(float)
-                own, w = _weights(task, fold, np.searchsorted(task.loads, part["load_no"].to_numpy()), n)
-                p = 1.0 / (1.0 + np.exp(-np.clip(x @ task.beta[fold].T, -30, 30)))
-                g = x.T @ (w * (own - p))
-                h = w * p * (1 - p)
-                for k in range(len(task.loads)):
-                    v = np.concatenate([g[:, k], ((x * h[:, k : k + 1]).T @ x).ravel()])
+                if table not in tasks:
+                    continue
+                for k, v in enumerate(work(tasks[table], fold, _design(part["f"]), part["load_no"].to_numpy())):
                     key = (table, fold, k)
                     sums[key] = sums[key] + v if key in sums else v
         yield pd.DataFrame([(*k, v) for k, v in sums.items()], columns=["table_name", "fold", "k", "v"])
@@ -197,39 +199,55 @@ def _newton_sums(tasks: dict[str, _Task]):
     return run
 
 
-def _score_counts(tasks: dict[str, _Task]):
-    """Counts of held-out scores per bin, of the load and of the others, with all columns and without each."""
+def _moments(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
+    _, w = task.weights(load_no)
+    for k in range(len(task.models)):
+        yield ((x * w[:, k : k + 1]).T @ x).ravel()
 
-    def run(batches):
-        sums: dict[tuple[str, int, int], np.ndarray] = {}
-        width = 2 * SCORE_BINS + 1
-        for pdf in batches:
-            for (table, fold), part in pdf.groupby(["table_name", "fold"], sort=False):
-                task = tasks[table]
-                x, n = _design(part["f"]), part["n"].to_numpy(float)
-                which = np.searchsorted(task.loads, part["load_no"].to_numpy())
-                columns = (x.shape[1] - 1) // PER_COLUMN
-                for without in range(columns + 1):
-                    keep = np.ones(x.shape[1], bool)
-                    if without:
-                        keep[1 + (without - 1) * PER_COLUMN : 1 + without * PER_COLUMN] = False
-                    bins = np.clip(np.round(x[:, keep] @ task.beta[1 - fold][:, keep].T / SCORE_BIN), -SCORE_BINS, SCORE_BINS).astype(int) + SCORE_BINS
-                    for k in range(len(task.loads)):
-                        own = which == k
-                        v = np.concatenate([np.bincount(bins[own, k], n[own], width), np.bincount(bins[~own, k], n[~own], width)])
-                        key = (table, fold, k * 1000 + without)
-                        sums[key] = sums[key] + v if key in sums else v
-        yield pd.DataFrame([(*k, v) for k, v in sums.items()], columns=["table_name", "fold", "k", "v"])
 
-    return run
+def _gradients(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
+    own, w = task.weights(load_no)
+    p = 1.0 / (1.0 + np.exp(-np.clip(x @ task.beta[fold].T, -30, 30)))
+    yield from (x.T @ (w * (own - p))).T
+
+
+def _counted(score: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Counts of scores per bin, of the load and then of the others."""
+    width = 2 * SCORE_BINS + 1
+    bins = np.rint(np.clip(score / SCORE_BIN, -SCORE_BINS, SCORE_BINS)).astype(int) + SCORE_BINS
+    return np.bincount(bins + width * ~own, minlength=2 * width).astype(float)
+
 
+def _whole_scores(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
+    score = x @ task.beta[1 - fold].T
+    for k, load in enumerate(task.models):
+        yield _counted(score[:, k], load_no == load)
 
-def _summed(cells: DataFrame, run) -> list[tuple[str, int, int, np.ndarray]]:
-    """Per-task sums added up by key in the cluster; one small vector per key comes back."""
-    add = lambda pdf: pd.DataFrame({"table_name": pdf["table_name"].iloc[:1], "fold": pdf["fold"].iloc[:1], "k": pdf["k"].iloc[:1], "v": [np.sum(np.stack(pdf["v"].to_list()), axis=0)]})
+
+def _parts(columns: int) -> list[slice]:
+    """The features of each column and kind, in this order."""
+    return [slice(1 + c * PER_COLUMN + kind.start, 1 + c * PER_COLUMN + kind.stop) for c in range(columns) for kind in KINDS.values()]
+
+
+def _part_scores(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
+    """Scores without each part, and with that part alone, side by side."""
+    for k, load in enumerate(task.models):
+        beta, own = task.beta[1 - fold][k], load_no == load
+        score = x @ beta
+        counts = []
+        for at in _parts((x.shape[1] - 1) // PER_COLUMN):
+            part = x[:, at] @ beta[at]
+            counts += [_counted(score - part, own), _counted(part, own)]
+        yield np.concatenate(counts)
+
+
+def _summed(rows: DataFrame, tasks: dict[str, _Task], work) -> list[tuple[str, int, int, np.ndarray]]:
+    """Per-task sums added up by model in the cluster; one vector per model comes back."""
+    key = ["table_name", "fold", "k"]
+    add = lambda pdf: pd.DataFrame({**{c: pdf[c].iloc[:1] for c in key}, "v": [np.sum(np.stack(pdf["v"].to_list()), axis=0)]})
     schema = "table_name string, fold int, k int, v array<double>"
-    rows = cells.mapInPandas(run, schema).groupBy("table_name", "fold", "k").applyInPandas(add, schema).collect()
-    return [(r.table_name, r.fold, r.k, np.array(r.v)) for r in rows]
+    summed = rows.select("table_name", "load_no", "fold", "f").mapInPandas(_per_model(tasks, work), schema).groupBy(*key).applyInPandas(add, schema).collect()
+    return [(r.table_name, r.fold, r.k, np.array(r.v)) for r in summed]
 
 
 def _area(pos: np.ndarray, neg: np.ndarray) -> float:
@@ -238,79 +256,91 @@ def _area(pos: np.ndarray, neg: np.ndarray) -> float:
     return float((pos * (np.cumsum(neg) - neg / 2)).sum() / total) if total else 0.5
 
 
-_TESTED = "table_name string, load_no int, discrimination double, ablation array<double>"
-
+def _areas(rows: DataFrame, tasks: dict[str, _Task], work) -> dict[tuple[str, int], np.ndarray]:
+    """Areas by table and model, one for each pair of counts, averaged over the folds that the models have not seen."""
+    by: dict[tuple[str, int], list[np.ndarray]] = {}
+    for table, _, k, v in _summed(rows, tasks, work):
+        by.setdefault((table, k), []).append(np.array([_area(pos, neg) for pos, neg in v.reshape(-1, 2, 2 * SCORE_BINS + 1)]))
+    return {key: np.mean(a, axis=0) for key, a in by.items()}
 
-def discrimination(cells: DataFrame) -> DataFrame:
-    """Two-sample test of each load against all others: (table_name, load_no, discrimination, ablation).
 
-    A logistic regression per load and fold is trained by Newton steps; every step sums gradients and
-    curvatures over all cells in the cluster, and only the sums (loads times squared features) reach the driver.
-    ``discrimination`` is the area under the curve on the fold that the model has not seen, averaged over
-    both folds; ``ablation`` holds, per column, the area without it.  A single load gives 0.5.
-    """
-    cells = cut_lineage(cells)
-    sizes = cells.groupBy("table_name", "load_no", "fold").agg(F.sum("n").alias("n"), F.max(F.size("f")).alias("columns")).limit(2 * MAX_LOADS + 1).collect()
-    if len(sizes) > 2 * MAX_LOADS:
-        raise ValueError(f"more than {MAX_LOADS} loads")
-    tasks: dict[str, _Task] = {}
-    for table in {r.table_name for r in sizes}:
-        own = [r for r in sizes if r.table_name == table]
-        loads = np.array(sorted({r.load_no for r in own}))
-        size = np.zeros((2, len(loads)))
-        for r in own:
-            size[r.fold, np.searchsorted(loads, r.load_no)] = r.n
-        tasks[table] = _Task(loads, size, np.zeros((2, len(loads), 1 + PER_COLUMN * own[0].columns)))
-    spark = cells.sparkSession
-    if not tasks:
-        return spark.createDataFrame([], _TESTED)
-    for _ in range(NEWTON_STEPS):
-        for table, fold, k, v in _summed(cells, _newton_sums(tasks)):
+def _fit(sample: DataFrame, tasks: dict[str, _Task]) -> None:
+    """Logistic regressions by bounded Newton steps: curvature at even odds bounds every later one, so it is summed once."""
+    curved = {}
+    for table, fold, k, v in _summed(sample, tasks, _moments):
+        d = tasks[table].beta.shape[2]
+        curved[table, fold, k] = np.linalg.inv(v.reshape(d, d) / 4.0 + RIDGE * np.eye(d))
+    for _ in range(STEPS):
+        for table, fold, k, g in _summed(sample, tasks, _gradients):
             beta = tasks[table].beta[fold, k]
-            d = len(beta)
-            penalty = RIDGE * np.eye(d)
-            beta += np.linalg.solve(v[d:].reshape(d, d) + penalty, v[:d] - penalty @ beta)
-    areas: dict[tuple[str, int], dict[int, list[float]]] = {}
-    for table, _, key, v in _summed(cells, _score_counts(tasks)):
-        k, without = divmod(key, 1000)
-        half = len(v) // 2
-        areas.setdefault((table, int(tasks[table].loads[k])), {}).setdefault(without, []).append(_area(v[:half], v[half:]))
-    rows = []
-    for (table, load), by in sorted(areas.items()):
-        mean = {w: float(np.mean(a)) for w, a in by.items()}
-        rows.append((table, load, mean[0], [mean[w] for w in sorted(mean) if w]))
-    return spark.createDataFrame(rows, _TESTED)
-
-
-def profile_loads(base: DataFrame, tested: DataFrame, order: dict[str, list[str]]) -> DataFrame:
-    """Base aggregates with the load's discrimination and, per column, what is lost without it.
-
-    ``order`` names the columns of each table in the order in which they were given to the classifier.
-    """
-    names = spark_map(order)
-    at = F.array_position(names[F.col("table_name")], F.col("column_name"))
-    joined = base.join(F.broadcast(tested), ["table_name", "load_no"])  # one row per load, at most MAX_LOADS per table
-    return joined.withColumn("ablation", F.col("discrimination") - F.get("ablation", (at - 1).cast("int")))
+            beta += curved[table, fold, k] @ (g - RIDGE * beta)
+
+
+_TESTED = "table_name string, column_name string, load_no int, discrimination double, " + ", ".join(f"{k}_lost double" for k in KINDS)
 
 
-def spark_map(order: dict[str, list[str]]):
-    return F.create_map(*(x for t, cs in sorted(order.items()) for x in (F.lit(t), F.array(*map(F.lit, cs)))))
+def discrimination(rows: DataFrame, order: dict[str, list[str]]) -> DataFrame:
+    """Two-sample test of each load against all others, by table, column and load: discrimination and what each column loses it.
+
+    ``rows`` come from :func:`features`, ``order`` names the columns of each table as they were given to it.  A logistic regression per load
+    and fold is fitted on about ``FITTED_ROWS`` rows of every load; every step sums over the cluster, and only the sums reach the driver.
+    All rows are scored by the model of the other fold.  ``discrimination`` is the area under the curve; a single load gives 0.5.
+    Loads from ``DIFFERENT`` on are then ablated: for each column and kind of feature, ``*_lost`` is the mean of the area lost
+    without it and of the area above one half that it reaches alone, so that neither a twin column nor a second fault hides it.
+    Other loads have no change to explain, and null there.  Loads are worked off ``LOADS_PER_PASS`` at a time.
+    """
+    spark = rows.sparkSession
+    sizes = rows.groupBy("table_name", "load_no").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts: dict[str, dict[int, int]] = {}
+    for r in sizes:
+        counts.setdefault(r.table_name, {})[r.load_no] = r.n
+    if not counts:
+        return spark.createDataFrame([], _TESTED)
+    rates = spark.createDataFrame([(t, load, FITTED_ROWS / n) for t, by in sorted(counts.items()) for load, n in sorted(by.items())], "table_name string, load_no int, rate double")
+    drawn = sum(min(n, FITTED_ROWS) for by in counts.values() for n in by.values())
+    # folds are told by the lowest bit of the hash, the draw by its highest
+    sample = rows.join(rates, ["table_name", "load_no"]).where("u < rate").drop("rate", "u")
+    sample = cut_lineage(sample.repartition(drawn // ROWS_PER_TASK + 1))
+    width = {t: 1 + PER_COLUMN * len(order[t]) for t in counts}
+    out = []
+    for low in range(0, max(map(len, counts.values())), LOADS_PER_PASS):
+        part = {t: np.array(sorted(by)[low : low + LOADS_PER_PASS]) for t, by in counts.items()}
+        tasks = {t: _Task(m, counts[t], np.zeros((2, len(m), width[t]))) for t, m in part.items() if len(m)}
+        _fit(sample, tasks)
+        whole = {key: float(a[0]) for key, a in _areas(rows, tasks, _whole_scores).items()}
+        differ = {t: [k for k in range(len(task.models)) if whole[t, k] >= DIFFERENT] for t, task in tasks.items()}
+        ablated = {t: _Task(tasks[t].models[k], counts[t], tasks[t].beta[:, k]) for t, k in differ.items() if k}
+        parts = _areas(rows, ablated, _part_scores) if ablated else {}
+        for t, task in tasks.items():
+            for k, load in enumerate(task.models.tolist()):
+                lost = np.full((len(order[t]), len(KINDS)), np.nan)
+                if k in differ[t]:
+                    without, alone = parts[t, differ[t].index(k)].reshape(len(order[t]), len(KINDS), 2).transpose(2, 0, 1)
+                    lost = (whole[t, k] - without + alone - 0.5) / 2
+                for column, own in zip(order[t], lost.tolist()):
+                    out.append((t, column, load, whole[t, k], *(None if np.isnan(x) else x for x in own)))
+    return spark.createDataFrame(out, _TESTED)
+
+
+def profile_loads(base: DataFrame, tested: DataFrame) -> DataFrame:
+    """Base aggregates with the load's discrimination and what each kind of feature of the column adds to it."""
+    return base.join(tested, ["table_name", "column_name", "load_no"])
 
 
 def load_issues(profile: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(table_name, column_name, load_no, issue_kind) of the loads that go wrong.
 
-    Nulls and domain are bounds on the load itself.  Scale and precision are changes
-    against the other loads: the classifier must tell the load apart, then the exact
-    figures decide.
+    Nulls and domain are bounds on the load itself, read off the base aggregates.  Changes of scale and precision are
+    found by the classifier: it must tell the load apart, and ablation must lay that at the column's
+    size or digits.  The exact figures of what it names then confirm the size of the change.
     """
     filled = F.col("n_rows") - F.col("n_null")
-    differs = F.col("discrimination") >= DIFFERENT
+    named = lambda kind: (F.col("discrimination") >= DIFFERENT) & (F.col(f"{kind}_lost") >= EXPLAINS)
     tests = {
         "nulls": F.col("n_null") > F.col("n_rows") * limits.nulls,
         "domain": F.col("n_outside") > filled * limits.domain,
-        "scale": differs & ~F.isnan("median") & ((F.col("median") > F.col("median_of_others") * limits.scale) | (F.col("median") < F.col("median_of_others") / limits.scale)),
-        "precision": differs & ~F.isnan("top_digit_share") & (F.col("top_digit_share") > limits.precision),
+        "scale": named("scale") & ((F.col("median") > F.col("median_of_others") * limits.scale) | (F.col("median") < F.col("median_of_others") / limits.scale)),
+        "precision": named("precision") & (F.col("top_digit_share") > limits.precision),
     }
     found = F.array(*(F.when(t, F.lit(k)) for k, t in tests.items()))
     return profile.select("table_name", "column_name", "load_no", F.explode(F.filter(found, lambda k: k.isNotNull())).alias("issue_kind"))
@@ -322,19 +352,26 @@ def column_profile(df: DataFrame, load: str, patterns: dict[str, str]) -> DataFr
     ``patterns`` gives a regular expression per column that its values, written as text,
     must match; columns without one have no violations.  Values are compared as text,
     except that least and greatest of numbers go by number.  Result: ``load_no, column_name,
-    n_rows, n_null, n_distinct, n_violations``.
+    n_rows, n_null, n_distinct, n_violations, least, most`` (numbers), ``first, last`` (texts).
 
     Equal values fold before the shuffle; distinct counts are exact.
     """
     columns = [c for c in df.columns if c != load]
-    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns))
-    counted = df.select(F.col(load).alias("load_no"), F.explode(cells).alias("c")).groupBy("load_no", "c.column_name", "c.value").agg(F.count(F.lit(1)).alias("n"))
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    cell = lambda c: F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), (F.col(c) if c in numeric else F.lit(None)).cast("double").alias("number"))
+    cells = F.array(*map(cell, columns))
+    counted = df.select(F.col(load).alias("load_no"), F.explode(cells).alias("c")).groupBy("load_no", "c.column_name", "c.value", "c.number").agg(F.count(F.lit(1)).alias("n"))
     bad = F.lit(False)
     for c, pattern in patterns.items():
         bad = bad | ((F.col("column_name") == c) & ~F.col("value").rlike(pattern))
+    text = F.when(F.col("number").isNull(), F.col("value"))
     return counted.groupBy("load_no", "column_name").agg(
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
         F.count("value").alias("n_distinct"),
         F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("n_violations"),
+        F.min("number").alias("least"),
+        F.max("number").alias("most"),
+        F.min(text).alias("first"),
+        F.max(text).alias("last"),
     )

@@ -149,20 +149,20 @@ PATTERNS = {
 LOADED = ("airport_monthly", "domestic_route_monthly", "carrier_monthly", "airport_international_quarterly")
 
 
-def _load_profile(spark: SparkSession, root: str, watched: dict) -> DataFrame:
+def _load_profile(spark: SparkSession, root: str, watched: dict, compared: dict) -> DataFrame:
+    """Base aggregates of the ``watched`` columns; the classifier reads all columns that are ``compared``."""
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     base = union([profile.load_cells(read_table(spark, root, t), t, "load_no", checks) for t, (checks, _) in watched.items()])
-    train = union([profile.training_cells(read_table(spark, root, t), t, "load_no", checks, identity) for t, (checks, identity) in watched.items()])
-    order = {t: [c.column for c in checks] for t, (checks, _) in watched.items()}
-    return profile.profile_loads(profile.base_profile(base), profile.discrimination(train), order)
+    rows = union([profile.features(read_table(spark, root, t), t, "load_no", *compared[t]) for t in watched])
+    return profile.profile_loads(profile.base_profile(base), profile.discrimination(rows, {t: [c.column for c in compared[t][0]] for t in watched}))
 
 
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
-    return profile.load_issues(_load_profile(spark, root, WATCHED))
+    return profile.load_issues(_load_profile(spark, root, WATCHED, PROFILED))
 
 
 def p7_profile(spark: SparkSession, root: str) -> DataFrame:
-    return _load_profile(spark, root, PROFILED)
+    return _load_profile(spark, root, PROFILED, PROFILED)
 
 
 def p7_columns(spark: SparkSession, root: str) -> DataFrame:

@@ -135,7 +135,9 @@ UNION ALL SELECT canonical, 'gap', CAST(hi + 1 AS INTEGER), CAST(nxt - 1 AS INTE
         )
     ),
     "p7_columns": " UNION ALL ".join(
-        f"SELECT load_no, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, count(*) FILTER (WHERE NOT regexp_matches(CAST({c} AS VARCHAR), '{x}')) AS n_violations FROM airport_monthly GROUP BY load_no"
+        f"SELECT load_no, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, count(*) FILTER (WHERE NOT regexp_matches(CAST({c} AS VARCHAR), '{x}')) AS n_violations, "
+        + (f"NULL::DOUBLE AS least, NULL::DOUBLE AS most, min({c}) AS first, max({c}) AS last " if c == "airport" else f"CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS most, NULL::VARCHAR AS first, NULL::VARCHAR AS last ")
+        + "FROM airport_monthly GROUP BY load_no"
         for c, x in _COLUMNS.items()
     ),
 }
