@@ -1,15 +1,16 @@
 """Evaluation texts that leak into training text.
 
-Pigeonhole edit matching: if a passage of ``WINDOW`` words carries at most ``BUDGET`` wrong
-words, then of the ``BUDGET + 1`` pieces into which the window can be cut one is
-intact.  The pieces of all windows of an item are its runs of ``PIECE`` words, so the intact
-ones are found by exact search.  The right words of a window stand in at most ``BUDGET + 1``
-runs; if all but one of these are too short for a piece, the last one has
-``WINDOW - BUDGET - (PIECE - 1) * BUDGET`` words, and two that are long enough have as many.  So hits on one
-diagonal that cover fewer words of the item, less one for runs of common words that are
-only sought together with the words after them, are no candidates.  At the others Myers' bit-parallel distance compares
+Pigeonhole edit matching.  A passage is a window of ``WINDOW`` item words in a document, of which at most ``BUDGET`` are
+wrong (changed, dropped, or joined by foreign ones; a misspelt word is right).  Cut into ``BUDGET + 1`` pieces one is intact, and with at most ``FEW``
+wrong words one of ``FEW + 1`` longer pieces is.  Intact pieces are found by exact search, at the hits Myers' bit-parallel distance compares
 the item with the document, and what passes is aligned exactly, word by word.
 
+Texts of the same manner share phrases with the items, with other names and figures between them.  Which phrases are
+manner is told by the corpus: runs of ``PIECE`` item words that one in ``1 / MANNER_SHARE`` documents carries.  A window with more than ``FEW``
+wrong words whose right words are manner is such a text; in windows with fewer it makes no difference.  So the shorter pieces are sought only
+where they are no manner: the right words of a window with ``BUDGET`` wrong ones stand in at most ``BUDGET + 1`` runs, those in runs too short for a piece
+are at most ``(PIECE - 1) * BUDGET``, and all others but ``MANNER_WORDS`` are in pieces that are sought.
+
 All comparisons are made on squashed text: compatibility forms folded, case and accents
 dropped, and only letters and digits kept, so that spacing and punctuation, also within
 words and numbers, do not count.
@@ -17,7 +18,6 @@ words and numbers, do not count.
 
 from __future__ import annotations
 
-import math
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -30,23 +30,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, BUDGET = 15, 3
-PIECE = WINDOW // (BUDGET + 1)
-LEAST_COVER = WINDOW - BUDGET - (PIECE - 1) * BUDGET - 1
+WINDOW, BUDGET, FEW = 15, 3, 1
+PIECE, LONG_PIECE = WINDOW // (BUDGET + 1), WINDOW // (FEW + 1)
+#: Share of documents (and least number of them) that carry a phrase of manner, and right words of a window that may be manner.
+MANNER_SHARE, MANNER_DOCUMENTS, MANNER_WORDS = 0.0003, 3, 2
+LEAST_COVER = WINDOW - BUDGET - (PIECE - 1) * BUDGET - MANNER_WORDS
 #: Characters by which hits of one passage may be shifted against each other.
-SHIFT = 24
-#: A piece found in more items than this says little; it grows by further words until it is rarer.
-COMMON, LONGEST_PIECE = 5, 6
-#: Characters compared at a time, and the share of them that may differ.
-BITS, DISTANCE = 64, 0.40
-#: What makes an aligned stretch a passage: its right words (or one less if it spans more words),
-#: their weight less the penalty of the wrong ones, and their share of the weight of all.  A passage of ``WINDOW`` words
-#: may have a wrong word at an end or next to it, which the alignment cannot claim.
-LEAST_WORDS, LEAST_WEIGHT, LEAST_SHARE = 13, 20.0, 0.78
-#: Words weigh less where there are fewer items; below this many the least weight falls with the weight of a word of one item.
-WEIGHED_ITEMS = 300
-#: Penalty of a wrong word against the weight of a right one.
-PENALTY = 1.3
+SHIFT = 48
+#: Characters compared at a time, and the share of them that may differ at the best of three places.
+BITS, DISTANCE = 64, 0.50
+#: Wrong words at either end of a window, which an alignment cannot claim.
+ENDS = 1
 #: Bytes of item text that one pass over the documents holds.
 BYTES_PER_PASS = 16_000_000
 
@@ -76,7 +70,11 @@ class Item:
     words: list[str]
     starts: list[int]
     text: str
-    weights: list[float] = field(default_factory=list)
+    #: whether the run of ``PIECE`` words from each word on is manner
+    manner: list[bool] = field(default_factory=list)
+
+    def run(self, k: int, n: int) -> str:
+        return self.text[self.starts[k] : self.starts[k + n] if k + n < len(self.starts) else None]
 
 
 @dataclass
@@ -86,23 +84,25 @@ class Index:
     items: dict[int, Item]
     #: where each piece stands: item, first word, number of words
     pieces: dict[str, list[tuple[int, int, int]]]
-    least_weight: float = LEAST_WEIGHT
 
     def automaton(self) -> "ahocorasick.Automaton":
         if not hasattr(self, "_automaton"):
-            a = ahocorasick.Automaton()
-            for p in self.pieces:
-                a.add_word(p, p)
-            a.make_automaton()
-            self._automaton = a
+            self._automaton = _automaton(self.pieces)
         return self._automaton
 
     def __getstate__(self):
-        return {"items": self.items, "pieces": self.pieces, "least_weight": self.least_weight}
+        return {"items": self.items, "pieces": self.pieces}
+
 
+def _automaton(pieces) -> "ahocorasick.Automaton":
+    a = ahocorasick.Automaton()
+    for p in pieces:
+        a.add_word(p, p)
+    a.make_automaton()
+    return a
 
-def build_index(rows: list[tuple[int, str]], frequency: Counter | None = None, total: int | None = None) -> Index:
-    """Index of items; ``frequency`` counts in how many of ``total`` items a word occurs."""
+
+def read_items(rows: list[tuple[int, str]]) -> dict[int, Item]:
     items: dict[int, Item] = {}
     for item_id, text in rows:
         words = words_of(text or "")
@@ -111,26 +111,27 @@ def build_index(rows: list[tuple[int, str]], frequency: Counter | None = None, t
             starts.append(at)
             at += len(w)
         items[item_id] = Item(words, starts, "".join(words))
-    if frequency is None:
-        frequency = Counter(w for i in items.values() for w in set(i.words))
-    total = total or len(items)
-    found: list[Counter] = []
-    for n in range(PIECE, LONGEST_PIECE + 1):
-        count: Counter = Counter()
-        for i in items.values():
-            count.update({"".join(i.words[k : k + n]) for k in range(len(i.words) - n + 1)})
-        found.append(count)
+    return items
+
+
+def short_pieces(items: dict[int, Item]) -> set[str]:
+    return {i.run(k, PIECE) for i in items.values() for k in range(len(i.words) - PIECE + 1)}
+
+
+def build_index(rows: list[tuple[int, str]], manner: frozenset[str] = frozenset()) -> Index:
+    """Index of items; ``manner`` holds the runs of ``PIECE`` words that are phrases of manner in the corpus."""
+    items = read_items(rows)
     pieces: dict[str, list[tuple[int, int, int]]] = {}
     for item_id, i in items.items():
-        i.weights = [math.log((total + 1) / max(frequency[w], 1)) + 0.3 for w in i.words]
-        for k in range(len(i.words) - PIECE + 1):
-            for n in range(PIECE, LONGEST_PIECE + 1):
-                p = "".join(i.words[k : k + n])
-                if k + n <= len(i.words) and (found[n - PIECE][p] <= COMMON or n == LONGEST_PIECE):
-                    pieces.setdefault(p, []).append((item_id, k, n))
-                    break
-    rare = lambda n: math.log(n + 1) + 0.3
-    return Index(items, pieces, LEAST_WEIGHT * min(1.0, rare(total) / rare(WEIGHED_ITEMS)))
+        if len(i.words) < WINDOW:
+            continue
+        i.manner = [i.run(k, PIECE) in manner for k in range(len(i.words) - PIECE + 1)]
+        for n in (PIECE, LONG_PIECE):
+            for k in range(len(i.words) - n + 1):
+                # a longer piece without manner is found by the shorter ones in it
+                if any(i.manner[k : k + n - PIECE + 1]) if n == LONG_PIECE else not i.manner[k]:
+                    pieces.setdefault(i.run(k, n), []).append((item_id, k, n))
+    return Index(items, pieces)
 
 
 def myers(patterns: list[str], texts: list[str]) -> np.ndarray:
@@ -185,7 +186,7 @@ def _extend(words: list[str], k: int, text: str, at: int) -> list[int]:
     """State of each item word from ``k`` on, read along ``text`` from ``at``: 1 right or misspelt, 0 wrong.
 
     A wrong word may be changed, dropped or joined by a foreign one; after it the next two
-    words (or the last one) must follow within reach.  More than two wrong words in a row end it.
+    words (or one long or last one) must follow within reach.  More than ``BUDGET`` wrong words in a row end it.
     """
     out: list[int] = []
     n = len(words)
@@ -196,74 +197,70 @@ def _extend(words: list[str], k: int, text: str, at: int) -> list[int]:
             at += len(w)
             k += 1
             continue
-        for skip in (1, 2):
-            follow = "".join(words[k + skip : k + skip + 2])
-            if not follow:
-                return out
-            reach = sum(map(len, words[k : k + skip])) + 14 * skip
+        found = None
+        for skip, ahead in ((1, 2), (0, 2), (1, 1), (2, 2), (3, 2), (2, 1)):
+            follow = "".join(words[k + skip : k + skip + ahead])
+            if not follow or (ahead == 1 and len(follow) < 4 and k + skip + 1 < n):
+                continue
+            reach = sum(map(len, words[k : k + skip])) + 14 * max(skip, 1)
             to = text.find(follow, at, at + reach + len(follow))
             if to >= 0:
-                out += [1 if skip == 1 and _near(w, text[at:to]) else 0] + [0] * (skip - 1)
-                at, k = to, k + skip
+                found = skip, to
                 break
-        else:
-            # a foreign word before this one
-            follow = "".join(words[k : k + 2])
-            to = text.find(follow, at, at + 14 + len(follow)) if k + 1 < n else -1
-            if to < 0:
-                return out
-            at = to
+        if found is None:
+            return out
+        skip, to = found
+        if skip:
+            out += [1 if skip == 1 and _near(w, text[at:to]) else 0] + [0] * (skip - 1)
+        at, k = to, k + skip
     return out
 
 
-def passage(item: Item, k: int, size: int, text: str, at: int) -> tuple[int, int, float, float]:
-    """Best stretch of the item around its words ``k`` to ``k + size`` found at ``at``: words, right words, weight, share.
-
-    ``weight`` is that of the right words less ``PENALTY`` times that of the wrong ones.
-    """
-    end = at + sum(map(len, item.words[k : k + size]))
+def aligned(item: Item, k: int, size: int, text: str, at: int) -> tuple[int, list[int]]:
+    """First word and states of the stretch of the item around its words ``k`` to ``k + size`` found at ``at``."""
+    end = at + len(item.run(k, size))
     right = _extend(item.words, k + size, text, end)
     left_words = [w[::-1] for w in reversed(item.words[:k])]
-    room = sum(map(len, left_words)) * 2 + 40
+    room = item.starts[k] * 2 + 40
     left = _extend(left_words, 0, text[max(0, at - room) : at][::-1], 0)
-    states = left[::-1] + [1] * size + right
-    weights = item.weights[k - len(left) : k + size + len(right)]
-    best, run, first, top = 0.0, 0.0, 0, (0, 0)
-    for j, (s, w) in enumerate(zip(states, weights)):
-        if run <= 0:
-            run, first = 0.0, j
-        run += w if s else -PENALTY * w
-        if run > best:
-            best, top = run, (first, j + 1)
-    # a wrong word near an end may weigh more than what lies beyond it; the stretch is taken as
-    # far as the right words keep their share
-    right_of = np.concatenate([[0.0], np.cumsum([w if s else 0.0 for s, w in zip(states, weights)])])
-    all_of = np.concatenate([[0.0], np.cumsum(weights)])
-    share = lambda a, b: (right_of[b] - right_of[a]) / (all_of[b] - all_of[a])
-    low, high = top
-    if best > 0:
-        firsts = [j for j in range(low + 1) if states[j]]
-        lasts = [j + 1 for j in range(high - 1, len(states)) if states[j]]
-        wide = max(((b - a, a, b) for a in firsts for b in lasts if share(a, b) >= LEAST_SHARE), default=None)
-        if wide:
-            _, low, high = wide
-    matched, whole = right_of[high] - right_of[low], all_of[high] - all_of[low]
-    return high - low, sum(states[low:high]), float(matched - PENALTY * (whole - matched)), float(matched / whole) if whole else 0.0
-
-
-def verbatim(item: Item, text: str, at: int) -> bool:
-    """Whether ``WINDOW`` words of the item stand unaltered in the text around ``at``: a passage whatever they weigh."""
-    near = text[max(0, at - len(item.text)) : at + len(item.text)]
-    ends = [*item.starts[WINDOW:], len(item.text)] if len(item.words) >= WINDOW else []
-    return any(item.text[a:b] in near for a, b in zip(item.starts, ends))
+    return k - len(left), left[::-1] + [1] * size + right
+
+
+def is_passage(item: Item, first: int, states: list[int]) -> bool:
+    """Whether a window of the aligned stretch is a passage, by the number of its wrong words and of its words of manner."""
+    low, high = max(0, first - ENDS), min(len(item.words), first + len(states) + ENDS)
+    right = [0] * (first - low) + states + [0] * (high - first - len(states))
+    for a in range(len(right) - WINDOW + 1):
+        wrong = WINDOW - sum(right[a : a + WINDOW])
+        if wrong <= FEW:
+            return True
+        if wrong <= BUDGET:
+            rare, common = set(), set()
+            for j in range(a, a + WINDOW - PIECE + 1):
+                if all(right[j : j + PIECE]):
+                    (common if item.manner[low + j] else rare).update(range(j, j + PIECE))
+            if len(common - rare) <= MANNER_WORDS:
+                return True
+    return False
+
+
+def _anchors(hits: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """One hit of each run of hits that overlap at the same place."""
+    last = None
+    for k, n, at in sorted(hits):
+        if last is None or k > last[0] + last[1] or at - last[2] > SHIFT:
+            yield k, n, at
+            last = (k, n, at)
+        else:
+            last = (last[0], max(last[1], k + n - last[0]), at)
 
 
 def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]:
     """(position of the text, item) of every text that carries a passage of an item."""
-    automaton = index.automaton()
-    candidates: list[tuple[int, int, int, int, int, str]] = []
     if not index.pieces:
         return
+    automaton = index.automaton()
+    candidates: list[tuple[int, int, int, int, int, str]] = []
     for row, raw in enumerate(texts):
         if not raw:
             continue
@@ -275,18 +272,14 @@ def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]
                 hits.setdefault((item_id, (at - index.items[item_id].starts[k]) // SHIFT), []).append((k, n, at))
         for (item_id, diagonal), own in hits.items():
             near = hits.get((item_id, diagonal + 1), ())
-            if len(own) + len(near) < 2:
-                continue
-            covered = {w for k, n, _ in (*own, *near) for w in range(k, k + n)}
-            if len(covered) >= LEAST_COVER:
-                k, n, at = own[len(own) // 2]
-                candidates.append((row, item_id, k, n, at, text))
+            if any(n == LONG_PIECE for _, n, _ in own) or len({w for k, n, _ in (*own, *near) for w in range(k, k + n)}) >= LEAST_COVER:
+                candidates += [(row, item_id, k, n, at, text) for k, n, at in _anchors(own)]
     if not candidates:
         return
     patterns, regions = [], []
     for _, item_id, k, n, at, text in candidates:
         item = index.items[item_id]
-        start, size = item.starts[k], sum(map(len, item.words[k : k + n]))
+        start, size = item.starts[k], len(item.run(k, n))
         for low in (start, start + size // 2 - BITS // 2, start + size - BITS):
             low = max(0, min(low, len(item.text) - BITS))
             patterns.append(item.text[low : low + BITS])
@@ -296,17 +289,36 @@ def leaks_in(texts: list[str | None], index: Index) -> Iterator[tuple[int, int]]
     passed = distance.reshape(-1, 3).min(axis=1) <= DISTANCE
     done: set[tuple[int, int]] = set()
     for ok, (row, item_id, k, n, at, text) in zip(passed, candidates):
-        if (row, item_id) in done:
-            continue
-        leaks = False
-        if ok:
-            words, right, weight, share = passage(index.items[item_id], k, n, text, at)
-            leaks = (right >= LEAST_WORDS or right == LEAST_WORDS - 1 and words > LEAST_WORDS) and weight >= index.least_weight and share >= LEAST_SHARE
-        if leaks or verbatim(index.items[item_id], text, at):
+        if ok and (row, item_id) not in done and is_passage(index.items[item_id], *aligned(index.items[item_id], k, n, text, at)):
             done.add((row, item_id))
             yield row, item_id
 
 
+def manner_phrases(documents: DataFrame, text: str, phrases: set[str]) -> frozenset[str]:
+    """Those of ``phrases`` (squashed) that are manner in the corpus: counted over all documents and whole texts.
+
+    Tasks send sums per batch, Spark adds them up, and the phrases above the share come back, at most the given ones.
+    """
+    if not phrases:
+        return frozenset()
+    shared = documents.sparkSession.sparkContext.broadcast(phrases)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton = _automaton(shared.value)
+        found, n = Counter(), 0
+        for pdf in batches:
+            for raw in pdf["text"]:
+                n += 1
+                if raw:
+                    found.update({p for _, p in automaton.iter(squash(raw))})
+        yield pd.DataFrame([("", n), *found.items()], columns=["phrase", "n"])
+
+    sums = documents.select(F.col(text).alias("text")).mapInPandas(count, "phrase string, n long").groupBy("phrase").agg(F.sum("n").alias("n"))
+    # the empty phrase stands for all documents
+    total = sums.where("phrase = ''").select(F.greatest(F.col("n") * MANNER_SHARE, F.lit(float(MANNER_DOCUMENTS))).alias("least"))
+    return frozenset(r.phrase for r in sums.where("phrase <> ''").join(F.broadcast(total), F.col("n") >= F.col("least")).select("phrase").toLocalIterator())
+
+
 def item_portions(items: DataFrame, item_id: str, text: str) -> list[list[tuple[int, str]]]:
     """Items in portions of at most ``BYTES_PER_PASS``, so that what a task holds is bounded."""
     portions: list[list[tuple[int, str]]] = [[]]
@@ -328,17 +340,17 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     out; empty tables give no rows.
 
     The items are the stated query set: they are held by every task in portions of bounded
-    size, one pass over the documents each.  Documents are not shuffled.
+    size, two passes over the documents each (one counts phrases).  What an item finds does not depend on the other items.  Documents
+    are not shuffled.
     """
     portions = item_portions(items, item_id, item_text)
-    frequency = Counter(w for part in portions for _, t in part for w in set(words_of(t)))
-    total = sum(map(len, portions))
     base = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, item_id {items.schema[item_id].dataType.simpleString()}"
     context = documents.sparkSession.sparkContext
     out = None
     for part in portions:
-        shared = context.broadcast(build_index(part, frequency, total))
+        manner = manner_phrases(documents, text, short_pieces({k: i for k, i in read_items(part).items() if len(i.words) >= WINDOW}))
+        shared = context.broadcast(build_index(part, manner))
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = shared.value

@@ -110,3 +110,44 @@ def test_verbatim_passage_of_words_that_all_items_share(spark):
     shared = " ".join(text(16, 900))
     items = [(i, shared + " " + " ".join(text(30, 1000 + i))) for i in range(8)]
     assert leaks(spark, [inside(shared), inside(" ".join(shared.split()[:10]))], items) == {(0, i) for i in range(8)}
+
+
+def altered(words, wrong, rng):
+    """The words with ``wrong`` of them, none at an end, changed, dropped or misspelt."""
+    out = list(words)
+    for k in rng.sample(range(1, len(words) - 1), wrong):
+        out[k] = rng.choice([rng.choice(VOCAB), "", out[k][:-1] + "xq"])
+    return " ".join(filter(None, out))
+
+
+@pytest.mark.parametrize("wrong,least", [(0, 1.0), (1, 0.99), (2, 0.98), (3, 0.95)])
+def test_recall_of_short_altered_passages(wrong, least):
+    rng = random.Random(60 + wrong)
+    trials = []
+    for k in range(300):
+        item = rng.randrange(len(ITEMS))
+        at = rng.randrange(0, 45)
+        trials.append((inside(altered(slice_of(item, at, at + 15), wrong, rng), seed=2000 + 2 * k), item))
+    found = set(L.leaks_in([t for t, _ in trials], L.build_index(ITEMS)))
+    assert sum((k, item) in found for k, (_, item) in enumerate(trials)) >= least * len(trials)
+    assert all(item == trials[k][1] for k, item in found)
+
+
+def test_what_an_item_finds_does_not_depend_on_the_others(spark, monkeypatch):
+    rng = random.Random(70)
+    shared = " ".join(text(30, 901))
+    items = [(i, " ".join(text(20, 1100 + i)) + " " + shared) for i in range(60)]
+    docs = [inside(" ".join(shared.split()[5:25])), inside(altered(shared.split()[:15], 3, rng)), inside(altered(items[7][1].split()[:15], 2, rng))]
+    every = leaks(spark, docs, items)
+    assert every == {(0, i) for i in range(60)} | {(1, i) for i in range(60)} | {(2, 7)}
+    assert leaks(spark, docs, items[7:8]) == {(k, i) for k, i in every if i == 7} == {(0, 7), (1, 7), (2, 7)}
+    monkeypatch.setattr(L, "BYTES_PER_PASS", 3000)
+    assert leaks(spark, docs, items) == every
+
+
+def test_phrases_of_manner_are_counted_over_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(L, "MANNER_SHARE", 0.1)
+    docs = ["The office counted 5 men", "the OFFICE counted many", "the office, counted", "nothing", None, ""]
+    df = spark.createDataFrame([(t,) for t in docs], "text string").repartition(4)
+    assert L.manner_phrases(df, "text", {"theofficecounted", "officecounted5", "absent"}) == {"theofficecounted"}
+    assert L.manner_phrases(df, "text", set()) == frozenset()
