@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from statistics import median
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,6 +15,11 @@ ADD, DELETE, RENAME, MOVE = 1.0, 1.0, 0.6, 0.1
 RETYPE = 0.3
 #: A pairing of unlike labels this dear is worth less than a deletion and an addition.
 NEVER = 99.0
+#: What known labels, word stems and values add to the cost of a renaming.
+SAME_FIELD, OTHER_FIELD, NO_STEM, UNKNOWN = -0.4, 0.8, 0.4, 0.5
+OTHER_UNIT, SHIFTED, SCATTERED, NO_VALUES, MOST = 0.25, 1.5, 2.0, 0.7, 1.6
+#: Groups of rows (by a hash of their keys) whose mean sizes stand for the values of a column.
+GROUPS = 8
 
 
 @dataclass(frozen=True)
@@ -22,7 +29,8 @@ class Node:
     label: str
     meaning: str | None = None
     kind: str = ""
-    size: float | None = None
+    #: mean logarithm of the numbers in each group of rows, none where there are none
+    values: tuple[float | None, ...] = ()
     children: tuple["Node", ...] = field(default=())
 
 
@@ -84,26 +92,36 @@ def weight(node: Node) -> int:
     return 1 + sum(weight(c) for c in node.children)
 
 
+def value_cost(old: Node, new: Node) -> float:
+    """How unlike the values of two columns are, group by group: another level, another unit, or no common course."""
+    steps = [y - x for x, y in zip(old.values, new.values) if x is not None and y is not None]
+    if not steps:
+        return MOST if any(v is not None for v in (*old.values, *new.values)) else NO_VALUES
+    shift = median(steps)
+    level = min(SHIFTED * abs(shift - k * math.log(10)) + OTHER_UNIT * (k != 0) for k in range(-3, 4))
+    scatter = sum(abs(x - shift) for x in steps) / len(steps) if len(steps) > 1 else 0.5
+    return min(MOST, level + SCATTERED * scatter)
+
+
+def _stems(node: Node) -> set[str]:
+    return {w[:4] for x in (node.label, node.meaning or "") for w in snake(x).split("_") if len(w) > 1}
+
+
 def relabel_cost(old: Node, new: Node) -> float:
-    """Cost of turning one label into another; like meanings are cheap, unlike ones are never paired.
+    """Cost of turning one label into another.
 
-    A label of unknown meaning may stand for a known one only if the two share a word
-    stem and carry values of like size.
+    Like labels cost nothing.  Unlike ones cost a renaming, more the less their values have in common; that both are known for one
+    field makes it cheaper, that they are known for two or share no word stem makes it dearer.
     """
     cost = RETYPE * (old.kind != new.kind)
     if squash(old.label) == squash(new.label):
         return cost
-    if old.meaning and new.meaning:
-        return cost + RENAME if old.meaning == new.meaning else NEVER
     if bool(old.children) != bool(new.children):
         return NEVER
-    stems = [{w[:4] for w in snake(x).split("_") if len(w) > 1} for n in (old, new) for x in (n.label,)]
-    if old.meaning:
-        stems[0] |= {w[:4] for w in old.meaning.split("_")}
-    if new.meaning:
-        stems[1] |= {w[:4] for w in new.meaning.split("_")}
-    alike = old.size is not None and new.size is not None and abs(old.size - new.size) < 0.7
-    return cost + RENAME + 0.2 if stems[0] & stems[1] and alike else NEVER
+    cost += RENAME + value_cost(old, new)
+    if old.meaning and new.meaning:
+        return cost + (SAME_FIELD if old.meaning == new.meaning else OTHER_FIELD)
+    return cost + NO_STEM * (not _stems(old) & _stems(new)) + UNKNOWN * (not old.meaning and not new.meaning)
 
 
 def edit_distance(old: Node, new: Node, path: str = "") -> tuple[float, list[Edit]]:
@@ -202,28 +220,28 @@ class Target:
 
 
 def file_columns(sheets: DataFrame, target: Target, file: str = "file", row: str = "row_idx", cells: str = "cells") -> DataFrame:
-    """The columns of each file below its header row: (file, pos, header, kind, size).
+    """The columns of each file below its header row: (file, pos, header, kind, values).
 
     The header row is the first one whose leading cells are the key headers, whatever their
     case and blanks; files without one have no columns.  ``kind`` is ``whole`` if all
     cells with a value are digits only (also if there are none), ``decimal`` if all are digits with or without a
-    point, else ``text``; ``-``, ``n/a``, blank and null cells have no value.  ``size``
-    is the mean logarithm of the numbers.
+    point, else ``text``; ``-``, ``n/a``, blank and null cells have no value.  ``values``
+    is the mean logarithm of the numbers in each of ``GROUPS`` groups of rows, told by the first two key columns.
     """
     # the header row itself, without its cells, stands for columns above no row or rows that are too short
     body = with_header(sheets, target, file, row, cells, keep_header=True)
     value = F.trim(F.col("cell"))
     has = value.isNotNull() & ~F.lower(value).isin("", "-", "n/a")
     number = F.regexp_replace(F.regexp_extract(value, r"^[\d.,]+", 0), ",", "").try_cast("double")
-    exploded = body.select("file", "header", F.posexplode("cells").alias("pos", "cell"))
-    named = exploded.where(F.col("pos") < F.size("header"))
-    return named.groupBy("file", "pos").agg(
-        F.min(F.get("header", F.col("pos"))).alias("header"),
+    key = [F.coalesce(F.lower(F.trim(F.get("cells", F.lit(k)))), F.lit("")) for k in range(min(2, len(target.keys)))]
+    exploded = body.select("file", "header", F.pmod(F.xxhash64(*key), F.lit(GROUPS)).alias("group"), F.posexplode("cells").alias("pos", "cell"))
+    named = exploded.where(F.col("pos") < F.size("header")).select("file", "pos", F.get("header", F.col("pos")).alias("header"), "group", "cell")
+    return named.groupBy("file", "pos", "header").agg(
         F.when(F.coalesce(F.bool_and(F.when(has, value.rlike(r"^\d+$"))), F.lit(True)), "whole")
         .when(F.bool_and(F.when(has, value.rlike(r"^\d+(\.\d*)?$|^\.\d+$"))), "decimal")
         .otherwise("text")
         .alias("kind"),
-        F.avg(F.when(has & (number > 0), F.log(number))).alias("size"),
+        F.array(*(F.avg(F.when((F.col("group") == g) & has & (number > 0), F.log(number))) for g in range(GROUPS))).alias("values"),
     )
 
 
@@ -245,63 +263,86 @@ def with_header(sheets: DataFrame, target: Target, file: str = "file", row: str
     return joined.where("row_idx >= __h" if keep_header else "row_idx > __h").drop("__h")
 
 
+def _named(leaves: list[Node], fields: dict[str, str], target: Target) -> list[Node]:
+    """Meanings of columns that no script has told: by the script from the table's own schema to what is left of the file.
+
+    Only a header that is known for a field or holds all words of its name can stand for it.
+    """
+    taken = {x.meaning for x in leaves if x.meaning}
+    absent = [f for f in target.aliases if f not in taken]
+    out, used = list(leaves), set()
+    for i, x in enumerate(leaves):
+        if x.meaning:
+            continue
+        words = set(snake(x.label).split("_"))
+        means = fields.get(squash(x.label)) or next((f for f in absent if set(f.split("_")) <= words), None)
+        if means in absent and means not in used:
+            used.add(means)
+            out[i] = replace(x, meaning=means)
+    return out
+
+
 def _read_feed(target: Target, pdf: pd.DataFrame):
-    """Each file of a feed in the order of time: its columns with their meanings, and the edit script from the file before it.
+    """Each file of a feed in the order of time: its columns with their fields, the edit script from the file before it, and positions.
 
-    What a header is found to mean is kept for the files after it.
+    Fields travel along the scripts: a column that a script pairs with one of the file before stands for the same field, and goes
+    before a known header of that field next to it.
     """
     known = target.lookup()
     before: Node | None = None
-    learned: dict[str, str] = {}
+    past: dict[str, str] = {}
     for row in pdf.sort_values("p", kind="stable").itertuples(index=False):
-        leaves, seen = [], set()
+        leaves, places, seen = [], [], set()
         for c in sorted(row.columns, key=lambda c: c["pos"]):
             key = squash(c["header"])
             if not key or key in seen:
                 continue
             seen.add(key)
-            leaves.append(Node(c["header"], known.get(key) or learned.get(key), c["kind"], c["size"]))
+            values = () if c["values"] is None else tuple(None if v is None or v != v else float(v) for v in c["values"])
+            # known headers and those of the feed's past help the cost, they do not decide
+            leaves.append(Node(c["header"], known.get(key) or past.get(key), c["kind"], values))
+            places.append(c["pos"])
         now, script = Node(row.file, children=tuple(leaves)), []
+        told: list[Node] = [replace(x, meaning=None) for x in leaves]
         if before is not None:
             _, script = edit_distance(before, now)
-            for e in script:
-                if e.op == "rename" and e.old.meaning and not e.new.meaning:
-                    learned[squash(e.new.label)] = e.old.meaning
-            now = Node(row.file, children=tuple(Node(x.label, x.meaning or learned.get(squash(x.label)), x.kind, x.size) for x in leaves))
-        yield now, script, learned
+            kept = {squash(x.label): x for x in before.children}
+            pairs = {squash(e.new.label): e.old for e in script if e.op == "rename"}
+            for i, x in enumerate(leaves):
+                of = pairs.get(squash(x.label)) or kept.get(squash(x.label))
+                if of is not None and of.meaning not in {t.meaning for t in told}:
+                    told[i] = replace(x, meaning=of.meaning)
+        told = _named(told, {**past, **known}, target)
+        past |= {squash(x.label): x.meaning for x in told if x.meaning}
+        now = Node(row.file, children=tuple(told))
+        yield now, script, places
         before = now
 
 
 def _feed_changes(target: Target):
     def changes(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for now, script, learned in _read_feed(target, pdf):
+        before: dict[str, Node] = {}
+        for now, script, _ in _read_feed(target, pdf):
+            own = {squash(x.label): x for x in now.children}
             for e in script:
-                end = e.new or e.old
-                name = end.meaning or (e.old and e.old.meaning) or learned.get(squash(end.label)) or snake(end.label)
-                out.append((now.label, name, {"add": "added", "delete": "removed", "rename": "renamed", "retype": "retyped", "move": "moved"}[e.op], e.old and e.old.label, e.new and e.new.label, e.old and e.old.kind, e.new and e.new.kind))
+                end = own[squash(e.new.label)] if e.new else before[squash(e.old.label)]
+                out.append((now.label, end.meaning or snake(end.label), _KINDS[e.op], e.old and e.old.label, e.new and e.new.label, e.old and e.old.kind, e.new and e.new.kind))
+            before = own
         return pd.DataFrame(out, columns=["file", "field", "change_kind", "old_header", "new_header", "old_type", "new_type"])
 
     return changes
 
 
-def _feed_learned(target: Target):
-    known = target.lookup()
-
-    def learned(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for now, _, _ in _read_feed(target, pdf):
-            listed = {x.meaning for x in now.children if squash(x.label) in known}
-            first: dict[str, str] = {}
-            for x in now.children:
-                if x.meaning and x.meaning not in listed:
-                    first.setdefault(x.meaning, x.label)
-            out += [(now.label, f, h) for f, h in first.items()]
-        return pd.DataFrame(out, columns=["file", "field", "header"])
+def _feed_projections(target: Target):
+    def projections(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [(now.label, x.meaning, x.label, int(at)) for now, _, places in _read_feed(target, pdf) for x, at in zip(now.children, places) if x.meaning]
+        return pd.DataFrame(out, columns=["file", "field", "header", "pos"])
 
-    return learned
+    return projections
 
 
+_KINDS = {"add": "added", "delete": "removed", "rename": "renamed", "retype": "retyped", "move": "moved"}
 _CHANGES = "file string, field string, change_kind string, old_header string, new_header string, old_type string, new_type string"
 
 
@@ -319,51 +360,39 @@ def schema_changes(columns: DataFrame, target: Target, feed: Column, period: Col
     return _by_feed(columns, target, feed, period).applyInPandas(_feed_changes(target), _CHANGES)
 
 
-def learned_headers(columns: DataFrame, target: Target, feed: Column, period: Column) -> DataFrame:
-    """Headers outside the known ones and the fields they stand for: (file, field, header), in every file that carries them.
+def projections(columns: DataFrame, target: Target, feed: Column, period: Column) -> DataFrame:
+    """The projection of each file onto the fields of the table, compiled from the scripts of its feed: (file, field, header, pos).
 
-    Arguments as for :func:`schema_changes`.  A header found to rename a field keeps that meaning in all
-    later files of the feed; a file that has the field under a known header too takes that one.
+    Arguments as for :func:`schema_changes`.  A file without feed or period stands alone.
     """
-    return _by_feed(columns, target, feed, period).applyInPandas(_feed_learned(target), "file string, field string, header string")
+    alone = lambda c: c.withColumn("feed", F.coalesce("feed", F.concat(F.lit("\x00"), F.col("file")))).withColumn("p", F.coalesce("p", F.lit(0)))
+    return _by_feed(columns, target, feed, period, alone).applyInPandas(_feed_projections(target), "file string, field string, header string, pos int")
 
 
-def _by_feed(columns: DataFrame, target: Target, feed: Column, period: Column):
+def _by_feed(columns: DataFrame, target: Target, feed: Column, period: Column, mend=lambda c: c):
     fields = columns.where(~F.lower(F.trim("header")).isin(list(target.keys)))
-    per_file = fields.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "header", "kind", "size"))).alias("columns"))
-    placed = per_file.withColumn("feed", feed).withColumn("p", period).where("feed IS NOT NULL AND p IS NOT NULL")
-    return placed.groupBy("feed")
+    per_file = fields.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "header", "kind", "values"))).alias("columns"))
+    return mend(per_file.withColumn("feed", feed).withColumn("p", period)).where("feed IS NOT NULL AND p IS NOT NULL").groupBy("feed")
 
 
-def consistent_table(sheets: DataFrame, target: Target, learned: DataFrame | None = None) -> DataFrame:
+def consistent_table(sheets: DataFrame, target: Target, compiled: DataFrame) -> DataFrame:
     """All files in one table: file, row_idx, the key columns as text, and one double per field.
 
-    The projection of a file follows from its header: every field looks up the position of
-    one of its headers, among them those that ``learned`` (see :func:`learned_headers`) names for the file.
+    ``compiled`` (see :func:`projections`) says at which position of a file each field stands; a field without position is null.
     Units named in a header are converted, percent signs, unit words and
     thousands separators are read over, and cells without a value are null.
     """
-    body = with_header(sheets, target)
-    clean = lambda x: F.regexp_replace(F.lower(x), "[^a-z0-9]", "")
-    body = body.withColumn("__h", F.transform("header", clean))
-    if learned is not None:
-        extra = learned.groupBy("file").agg(F.map_from_entries(F.collect_set(F.struct("field", clean(F.col("header"))))).alias("__r"))
-        body = body.join(extra, "file", "left")
+    factor = F.lit(1.0)
+    for h, unit in target.units.items():
+        factor = F.when(F.regexp_replace(F.lower("header"), "[^a-z0-9]", "") == squash(h), F.lit(unit)).otherwise(factor)
+    # one row per file: where each field stands, and its factor
+    places = compiled.groupBy("file").agg(*(F.min_by(F.struct("pos", factor.alias("factor")), F.when(F.col("field") == name, F.col("pos"))).alias(f"__{name}") for name in target.aliases))
+    body = with_header(sheets, target).join(places, "file", "left")
     out = []
-    for name, headers in target.aliases.items():
-        options = F.array(*(F.lit(squash(h)) for h in (name, *headers)))
-        if learned is not None:
-            own = F.element_at("__r", F.lit(name))
-            options = F.when(own.isNotNull(), F.array_union(options, F.array(own))).otherwise(options)
-        known = F.array_intersect("__h", options)
-        at = F.array_position("__h", F.get(known, F.lit(0)))
-        cell = F.trim(F.when(at > 0, F.get("cells", (at - 1).cast("int"))))
+    for name in target.aliases:
+        cell = F.trim(F.get("cells", F.col(f"__{name}.pos")))
         number = F.regexp_extract(cell, r"^[\d.,]+", 0)
         plain = F.replace(number, F.lit(","), F.lit("." if name in target.comma_decimals else ""))
-        factor = F.lit(1.0)
-        for h, unit in target.units.items():
-            factor = F.when(F.get(known, F.lit(0)) == squash(h), F.lit(unit)).otherwise(factor)
-        out.append((plain.try_cast("double") * factor).alias(name))
+        out.append((plain.try_cast("double") * F.col(f"__{name}.factor")).alias(name))
     keys = [F.trim(F.get("cells", F.lit(k))).alias(n) for k, n in enumerate(target.keys)]
     return body.select("file", "row_idx", *keys, *out)
-

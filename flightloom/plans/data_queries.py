@@ -55,7 +55,7 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, root: str) -> DataFrame:
-    table = schema_drift.consistent_table(read_table(spark, root, "sheet_rows"), CARRIER_FILES, _per_feed(spark, root, schema_drift.learned_headers))
+    table = schema_drift.consistent_table(read_table(spark, root, "sheet_rows"), CARRIER_FILES, _per_feed(spark, root, schema_drift.projections))
     return table.select(
         "file", "row_idx", "airline", keys.service_type("type").alias("service_type"), F.col("year").try_cast("int").alias("year"), F.col("month").try_cast("int").alias("month"),
         F.round("passengers").cast("long").alias("passengers"), *CARRIER_METRICS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from flightloom.plans.carrier_files import CARRIER_HEADERS
+from flightloom.plans.carrier_files import CARRIER_FILES, CARRIER_HEADERS
 
 Y = "(CASE WHEN year BETWEEN 0 AND 99 THEN year + 2000 ELSE year END)"
 P = f"({Y} * 12 + month - 1)"
@@ -108,11 +108,31 @@ WHERE CASE k.change_kind WHEN 'added' THEN b.file IS NULL WHEN 'removed' THEN a.
 
 _COLUMNS = {"year": "^[0-9]{4}$", "month": "^([1-9]|1[0-2])$", "airport": "^[A-Z]{5}$", "passengers": "^[0-9]+$", "departures": "^[0-9]+$", "arrivals": "^[0-9]+$"}
 
+def _sheet_table(target) -> str:
+    """The table of all files by the list of known headers alone."""
+    squash = lambda h: re.sub("[^a-z0-9]", "", h.lower())
+    out = []
+    for field, headers in target.aliases.items():
+        names = ", ".join(f"'{squash(h)}'" for h in (field, *headers))
+        at = f"list_position(list_transform(h, lambda x: list_contains([{names}], x)), true)"
+        number = f"replace(regexp_extract(trim(cells[{at}]), '^[0-9.,]+'), ',', '{'.' if field in target.comma_decimals else ''}')"
+        unit = " ".join(f"WHEN '{squash(h)}' THEN {u}" for h, u in target.units.items())
+        value = f"TRY_CAST({number} AS DOUBLE) * (CASE h[{at}] {unit} ELSE 1.0 END)::DOUBLE"
+        out.append(f"CAST(round({value}) AS BIGINT) AS {field}" if field == "passengers" else f"{value} AS {field}")
+    heading = " AND ".join(f"lower(trim(cells[{k}])) = '{name}'" for k, name in enumerate(target.keys, 1))
+    return f"""WITH b AS (SELECT DISTINCT file, CAST(row_idx AS INTEGER) AS row_idx, cells FROM sheet_rows WHERE file IS NOT NULL AND row_idx IS NOT NULL AND cells IS NOT NULL),
+t AS (SELECT file, arg_min(cells, row_idx) AS header, min(row_idx) AS top FROM b WHERE {heading} GROUP BY file),
+d AS (SELECT b.*, list_transform(header, lambda x: regexp_replace(lower(x), '[^a-z0-9]', '', 'g')) AS h FROM b JOIN t USING (file) WHERE row_idx > top)
+SELECT file, row_idx, trim(cells[1]) AS airline, regexp_replace(lower(trim(cells[2])), '[ _]+', '_', 'g') AS service_type, TRY_CAST(trim(cells[3]) AS INTEGER) AS year, TRY_CAST(trim(cells[4]) AS INTEGER) AS month,
+  {", ".join(out)} FROM d"""
+
+
 SQL = {
     "p1_found": f"WITH {_GRID} SELECT airport, CAST(p // 12 AS INTEGER) AS year, CAST(p % 12 + 1 AS INTEGER) AS month FROM j WHERE reading IS NULL",
     "p1_grid": f"""WITH {_GRID} SELECT airport, CAST(p // 12 AS INTEGER) AS year, CAST(p % 12 + 1 AS INTEGER) AS month, reading,
   CASE WHEN p - seen <= 2 THEN held END AS value, CASE WHEN reading IS NOT NULL THEN 'observed' WHEN p - seen <= 2 THEN 'carried' ELSE 'missing' END AS status FROM j""",
     "p2_found": _sheet_changes(CARRIER_HEADERS),
+    "p2_table": _sheet_table(CARRIER_FILES),
     "p3_trailing": f"""WITH {AIRPORT}, {CARRIER}, t AS ({_trailing("airport_monthly", "airport_m", "airport")} UNION ALL {_trailing("carrier_monthly", "carrier_m", "concat_ws('|', airline, service_type)")})
 SELECT table_name, entity, CAST(p // 12 AS INTEGER) AS year, CAST(p % 12 + 1 AS INTEGER) AS month, CAST(coalesce(v, 0) AS BIGINT) AS passengers,
   CAST(total_3 AS BIGINT) AS total_3, CAST(total_3 AS DOUBLE) / 3.0 AS avg_3, CAST(active_3 AS INTEGER) AS active_3,
