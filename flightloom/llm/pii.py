@@ -1,13 +1,16 @@
 """Personal information inside free text: find it, list it, replace it.
 
-Structured details (e-mail addresses, phone and identity numbers, street
-addresses) have a form of their own.  Names have none: which words stand for
-persons is learned from the corpus.  A first pass counts, over all documents, how often
-a word occurs next to something that reveals a person (a title, a signature, a label,
-an address, a number) and how often it occurs at all.  A word's disclosure is the
-share of the former, taken as information against the base rate; words and
-surname endings above the threshold are protected, and a second pass finds every span
-made of them, with or without a cue.
+Information-theoretic sanitisation.  What stands for persons is learned from the corpus.  A first pass over all documents counts how often
+a term occurs together with something that reveals a person, and how often it occurs at all; the pointwise mutual information of the
+two, in bits, is the term's disclosure.  Terms are
+
+* words and endings of surnames, next to a cue (a title, a signature, a label, an address): those above the threshold
+  are protected, and a second pass finds every span made of them, with or without a cue;
+* for figures that have the form of a phone or identity number: the word before, the shape, and the mark after them, near a person named with
+  a cue or an e-mail address.  The disclosures of a figure's terms add up, and where they exceed the threshold it is a detail.
+  So a passport number is told from a batch number by the company that the words keep, not by a list of labels.
+
+E-mail and street addresses have a form of their own.
 """
 
 from __future__ import annotations
@@ -16,18 +19,34 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
+from string import ascii_lowercase, ascii_uppercase
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Share of a word's occurrences that must stand next to a cue for it to be protected.
-DISCLOSURE = 0.10
-#: The same for the endings of surnames.
-ENDING_DISCLOSURE = 0.02
+from flightloom.session import cut_lineage
+
+#: Bits by which a first name, and the ending of a surname, must be more frequent next to a cue than any word.
+NAME_BITS, ENDING_BITS = 5.5, 3.0
 ENDING = 3
+#: Characters between a figure and a person at which they occur together.
+NEAR = 100
+#: Bits that a figure's terms must add up to, and those that its surroundings alone must show.
+FIGURE_BITS = 3.0
+#: The same for codes that have no known form of an identity number.
+CODE_BITS = 6.0
+CONTEXT_BITS = {"id_number": 2.0, "phone": 0.0}
+#: What a figure's own neighbour adds where the word before it has not been seen often enough.
+OWN_BITS = 3.0
+#: Occurrences from which a term tells anything, and the least share of all figures (it bounds the number of terms).
+SUPPORT, SUPPORT_SHARE = 5, 1e-6
+#: Share of words next to a cue, and of text near a person, in any corpus, and the words or characters of a corpus that outweigh it.
+USUAL, USUAL_WEIGHT = {"first": 0.002, "ending": 0.002, "near": 0.03}, 200_000
+#: What is expected of a term before the corpus is read: it stands near a person in four of five cases.
+EXPECTED = {("left", w) for w in ("passport", "identity", "id", "insurance", "tax", "licence", "tel", "phone", "call")} | {("shape", "phone+")}
 #: Protected words that one pass holds; more are worked off in several passes.
 TERMS_PER_PASS = 200_000
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
@@ -48,18 +67,13 @@ PHONE = re.compile(
     r"|\d{3}([.-])\d{3}\1\d{4}"
     r")(?![\w/]|[.,-]\d)"
 )
-_FIGURES = re.compile(r"(?:\b(?:totals?|sums?|figures?|counts?|batch|run|part|form|ticket|sheet|row|flight|counter|reached|of)\W{0,2})$", re.I)
 
-_ID_LABEL = (
-    r"(?:national id(?:entity)?(?: card)?|identity (?:card|number|no\.?)|id (?:card|number|no\.?)|resident (?:no\.?|number|card|id)|social (?:insurance|security)(?: (?:no\.?|number))?"
-    r"|(?:national )?insurance (?:no\.?|number)|ssn|tax (?:id|number|no\.?)|passport(?: (?:no\.?|number))?|travel document(?: (?:no\.?|number))?|driv(?:ing|er's) licen[cs]e(?: (?:no\.?|number))?"
-    r"|licen[cs]e (?:no\.?|number))"
-)
 _ID_FORM = r"(?:[A-Z]{2}-\d{2}-\d{4}-\d{6,8}|[A-Z]{5} ?\d{4} ?[A-Z]|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}|\d{3}-\d{2}-\d{4}|\d{12}|[A-Z]\d? ?\d{6,7})"
-_LABELLED_ID = re.compile(rf"\b{_ID_LABEL}[ ]?[:=#]*[ ]?[:=#]*[ ]?((?-i:{_ID_FORM}\b|[A-Z0-9][A-Z0-9-]{{4,}}\b))", re.I)
-_FORMED_ID = re.compile(rf"(?<![\w-])({_ID_FORM})(?![\w-])")
-_BEFORE_ID = re.compile(r"(?:\bid ?[:=#] ?)$", re.I)
-_AFTER_ID = re.compile(r" ?/ ?[^\W\d_]")
+#: Forms of identity numbers, and any code of letters and digits, which only its surroundings can tell.
+_CODE = re.compile(rf"(?<![\w+-])(?:(?P<form>{_ID_FORM})|[A-Z0-9][A-Z0-9-]{{4,}}[A-Z0-9])(?![\w-])")
+_SHAPE = str.maketrans("0123456789" + ascii_uppercase + ascii_lowercase, "9" * 10 + "A" * 26 + "a" * 26)
+_LAST_WORD = re.compile(r"(\w+)\W{0,6}$")
+_VERBS = re.compile(r"(\w+)\W{0,3}(?:is|was|are|=|:)\W{0,3}$")
 
 _STREET = r"(?:Street|St|Road|Rd|Lane|Avenue|Ave|Way|Close|Terrace|Crescent|Marg|Cross|Main|Drive|Court|Square|Row)\b\.?"
 ADDRESS = re.compile(
@@ -69,8 +83,7 @@ ADDRESS = re.compile(
 )
 
 _STREET_WORD = re.compile(_STREET[:-3])
-_ID_NEEDLES = ("national id", "identity", "id card", "id num", "id no", "resident", "social", "insurance", "ssn", "tax ", "passport", "travel doc", "licen")
-_DIGITS = re.compile(r"\d[\d .()/-]{6,}\d")
+_DIGITS = re.compile(r"\d[\d .()/-]{2,}\d")
 
 # a possessive ending is no part of a word
 _REST = r"\w*(?:['’](?!s\b)\w+)*"
@@ -112,6 +125,8 @@ class Terms:
 
     first: frozenset[str]
     endings: frozenset[str]
+    #: disclosure, in bits, of what surrounds figures: ("left", word), ("shape", shape) or ("right", mark)
+    bits: dict[tuple[str, str], float] = field(default_factory=dict)
 
 
 def _parts(name: str) -> tuple[str | None, str]:
@@ -134,25 +149,71 @@ def _is_building(text: str, start: int, end: int) -> bool:
     return bool(_ARTICLE.search(text, max(0, start - 14), start)) and bool(re.match(rf" {_CAP}", text[end : end + 40]))
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    low = text.lower()
+    return [m.span() for m in EMAIL.finditer(text)] if "@" in text or "at)" in low or "at]" in low else []
+
+
+def _cued(text: str) -> Iterator[re.Match]:
+    """Names next to a cue, but for those of buildings."""
+    for needles, cue in _CUES:
+        if any(n in text for n in needles):
+            yield from (m for m in cue.finditer(text) if not _is_building(text, m.start(1), m.end(1)))
+
+
+def _persons(text: str) -> list[tuple[int, int]]:
+    return [m.span(1) for m in _cued(text)] + _emails(text)
+
+
+def _is_near(persons: list[tuple[int, int]], a: int, b: int) -> bool:
+    return any(x - NEAR < b and y + NEAR > a for x, y in persons)
+
+
+def _figures(text: str) -> Iterator[tuple[str, int, int, bool]]:
+    """Figures with the form of an identity or phone number: (kind, start, end, whether the form is a known one)."""
+    if not _DIGITS.search(text):
+        return
+    phones = [m.span() for m in PHONE.finditer(text)]
+    for m in _CODE.finditer(text):
+        a, b = m.span()
+        if m.group("form") or sum(c.isdigit() for c in m.group()) >= 4 and all(b <= x or a >= y for x, y in phones):
+            yield "id_number", a, b, bool(m.group("form"))
+    for a, b in phones:
+        yield "phone", a, b, True
+
+
+def _figure_terms(text: str, kind: str, a: int, b: int) -> list[tuple[str, str]]:
+    """The word before a figure, its shape, and the mark after it if there is one."""
+    before = _LAST_WORD.search(text, max(0, a - 24), a)
+    word = before.group(1).lower() if before else ""
+    after = text[b : b + 3].translate(_SHAPE)
+    return [("left", "9" if word.isdigit() else word), ("shape", kind + text[a:b].translate(_SHAPE)), ("right", "" if after[:2] in (" a", " A", " 9") else after)]
+
+
 def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         cued: Counter = Counter()
+        seen: Counter = Counter()
         words: Counter = Counter()
         for text in pdf["text"]:
             if not text:
                 continue
-            for needles, cue in _CUES:
-                if not any(n in text for n in needles):
-                    continue
-                for m in cue.finditer(text):
-                    if _is_building(text, m.start(1), m.end(1)):
-                        continue
-                    first, last = _parts(m.group(1))
-                    if first and first not in _PARTICLES:
-                        cued["first", first] += 1
-                    cued["ending", last[-ENDING:]] += 1
+            persons = _emails(text)
+            for m in _cued(text):
+                persons.append(m.span(1))
+                first, last = _parts(m.group(1))
+                if first and first not in _PARTICLES:
+                    cued["first", first] += 1
+                cued["ending", last[-ENDING:]] += 1
             words.update(_WORD.findall(_NAMED_BUILDING.sub(" ", text)))
-        seen: Counter = Counter()
+            # how much of the text lies near a person
+            seen["near", ""] += len(text)
+            cued["near", ""] += sum(min(len(text), b + NEAR) - max(0, a - NEAR) for a, b in persons)
+            for kind, a, b, _ in _figures(text):
+                near = _is_near(persons, a, b)
+                for term in _figure_terms(text, kind, a, b):
+                    seen[term] += 1
+                    cued[term] += near
         for w, n in words.items():
             w = w.lower()
             seen["first", w] += n
@@ -162,36 +223,70 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def disclosure_terms(documents: DataFrame, text: str = "text") -> DataFrame:
-    """How strongly words and word endings reveal a person: (kind, term, cued, seen, share, bits).
+    """How strongly terms reveal a person: (kind, term, cued, seen, bits).
 
     Counted over all documents and their whole texts; batches send sums, Spark adds them
-    up.  ``bits`` is the pointwise mutual information of the term with the presence of a person.
+    up.  ``bits`` is the pointwise mutual information of the term with the presence of a person: for ``first`` and ``ending`` against all words, for
+    ``left``, ``shape`` and ``right`` of figures against the share of text near a person.  Figures' terms below the support are left out.
     """
-    total = _term_sums(documents, text)
-    base = total.groupBy("kind").agg(F.try_divide(F.sum("cued"), F.sum("seen")).alias("base"))
-    return total.join(base, "kind").select("kind", "term", "cued", "seen", "share", F.when(F.col("cued") > 0, F.log2(F.col("share") / F.col("base"))).alias("bits"))
+    counts = documents.select(F.col(text).alias("text")).mapInPandas(_count_terms, "kind string, term string, cued long, seen long")
+    # small next to the texts; written once, as totals and terms are read from it
+    sums = cut_lineage(counts.groupBy("kind", "term").agg(F.sum("cued").alias("cued"), F.sum("seen").alias("seen")))
+    total = {r.kind: (r.cued or 0, r.seen or 0) for r in sums.groupBy("kind").agg(F.sum("cued").alias("cued"), F.sum("seen").alias("seen")).collect()}
 
+    def share(kind: str) -> float:
+        """Of all words, or of all text, that which is next to a person; a small corpus is held to what is usual."""
+        cued, seen = total.get(kind, (0, 0))
+        return (cued + USUAL[kind] * USUAL_WEIGHT) / (seen + USUAL_WEIGHT)
 
-def _term_sums(documents: DataFrame, text: str) -> DataFrame:
-    counts = documents.select(F.col(text).alias("text")).mapInPandas(_count_terms, "kind string, term string, cued long, seen long")
-    total = counts.groupBy("kind", "term").agg(F.sum("cued").alias("cued"), F.sum("seen").alias("seen"))
-    return total.withColumn("share", F.least(F.lit(1.0), F.try_divide("cued", "seen")))
+    near = share("near")
+    least = max(SUPPORT, total.get("shape", (0, 0))[1] * SUPPORT_SHARE)
+    own = F.least(F.lit(1.0), F.try_divide("cued", "seen"))
+    name = F.when(F.col("kind") == "first", own / F.lit(share("first"))).otherwise(own / F.lit(share("ending")))
+    of_name = F.col("kind").isin("first", "ending")
+    bits = F.when(of_name & (F.col("cued") > 0), F.log2(name)).when(~of_name & (F.col("seen") >= least), F.log2((F.col("cued") + near) / (F.col("seen") + 1) / near))
+    return sums.where("kind <> 'near'").withColumn("bits", bits).where("bits IS NOT NULL")
 
 
 def protected_terms(documents: DataFrame, text: str = "text") -> list[Terms]:
-    """The protected terms, in as many portions as passes are needed.
+    """What the corpus says, in as many portions as passes are needed.
 
-    Endings are bounded by their length.  First names are fetched in portions of
+    Endings are bounded by their length, terms of figures by their support.  First names are fetched in portions of
     ``TERMS_PER_PASS``; a corpus with more of them is read once per portion.
     """
-    # thresholds on the share need no base rate, so texts are read once
-    terms = _term_sums(documents, text).where(((F.col("kind") == "first") & (F.col("share") >= DISCLOSURE)) | ((F.col("kind") == "ending") & (F.col("share") >= ENDING_DISCLOSURE))).select("kind", "term")
+    terms = disclosure_terms(documents, text).where(f"kind = 'first' AND bits >= {NAME_BITS} OR kind = 'ending' AND bits >= {ENDING_BITS} OR kind NOT IN ('first', 'ending')")
     first, endings = [], set()
-    for kind, term in terms.toLocalIterator():
-        endings.add(term) if kind == "ending" else first.append(term)
+    bits = {term: math.log2(0.8 / 0.05) for term in EXPECTED}
+    for kind, term, own in terms.select("kind", "term", "bits").toLocalIterator():
+        if kind == "first":
+            first.append(term)
+        elif kind == "ending":
+            endings.add(term)
+        else:
+            bits[kind, term] = own
     portions = max(1, math.ceil(len(first) / TERMS_PER_PASS))
     first.sort()
-    return [Terms(frozenset(first[k::portions]), frozenset(endings)) for k in range(portions)]
+    return [Terms(frozenset(first[k::portions]), frozenset(endings), bits) for k in range(portions)]
+
+
+def _disclosing_figures(text: str, bits: dict[tuple[str, str], float]) -> Iterator[tuple[str, int, int]]:
+    persons = None
+    for kind, a, b, known_form in _figures(text):
+        left, shape, right = _figure_terms(text, kind, a, b)
+        before = bits.get(left)
+        if before is not None and (verb := _VERBS.search(text, max(0, a - 30), a)):
+            # "the number is": the word before the verb may say more
+            before = max(before, bits.get(("left", verb.group(1).lower()), before))
+        if before is None:
+            persons = _persons(text) if persons is None else persons
+            before = OWN_BITS * _is_near(persons, a, b)
+            verb = _VERBS.search(text, max(0, a - 30), a)
+            before = max(before, bits.get(("left", verb.group(1).lower()), 0.0)) if verb else before
+        after = bits.get(right, 0.0) if right[1] else 0.0
+        form = bits.get(shape, bits.get(("shape", shape[1][: len(kind) + 1]), 0.0))
+        context = max(before, after)
+        if context >= CONTEXT_BITS[kind] and before + form + after >= (FIGURE_BITS if known_form else CODE_BITS) and (known_form or left[1].isalpha()):
+            yield kind, a, b
 
 
 def _names(text: str, terms: Terms) -> Iterator[tuple[int, int]]:
@@ -223,24 +318,11 @@ def candidates(text: str | None, terms: Terms) -> set[tuple[str, int, int]]:
     if not text:
         return set()
     found: list[tuple[str, int, int]] = []
-    low = text.lower()
-    if "@" in text or "at)" in low or "at]" in low:
-        found += [("email", *m.span()) for m in EMAIL.finditer(text)]
-    # cheap searches keep the dear patterns away from texts in which they cannot match
+    found += [("email", *span) for span in _emails(text)]
+    # a cheap search keeps the dear pattern away from texts in which it cannot match
     if _STREET_WORD.search(text):
         found += [("address", *m.span()) for m in ADDRESS.finditer(text)]
-    if any(n in low for n in _ID_NEEDLES):
-        for m in _LABELLED_ID.finditer(text):
-            if sum(c.isdigit() for c in m.group(1)) >= 4:
-                found.append(("id_number", *m.span(1)))
-    if " /" in text or "/ " in text or "id=" in low or "id:" in low or "id =" in low or "id #" in low:
-        for m in _FORMED_ID.finditer(text):
-            if _BEFORE_ID.search(text, max(0, m.start() - 12), m.start()) or _AFTER_ID.match(text, m.end()):
-                found.append(("id_number", *m.span(1)))
-    if _DIGITS.search(text):
-        for m in PHONE.finditer(text):
-            if not _FIGURES.search(text, max(0, m.start() - 16), m.start()):
-                found.append(("phone", *m.span()))
+    found += _disclosing_figures(text, terms.bits)
     found += [("name", *s) for s in _names(text, terms)]
     return set(found)
 
