@@ -25,9 +25,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how byte-level BPE vocabularies of this kind split text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEED = 20_177
-#: Key ranges per source; only the one range that a budget cuts is put in order.
-RANGES = 4096
-MAX_TARGETS = 100_000
+#: Documents that a key range holds at most, about; only the one range per source that a budget cuts is put in order.
+ROWS_PER_RANGE = 100_000
 
 
 @lru_cache(maxsize=2)
@@ -94,7 +93,7 @@ def plan_mixture(totals: list[tuple[str, int]], targets: list[tuple[str, float,
     return plan
 
 
-def mixture(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None, vocabulary: str = VOCABULARY, seed: int = SEED, ranges: int = RANGES) -> tuple[DataFrame, DataFrame]:
+def mixture(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None, vocabulary: str = VOCABULARY, seed: int = SEED, rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, DataFrame]:
     """The mixture, (doc_id, source, n_tokens, copies), and its report by source.
 
     Report: ``source, target_share, planned_share, actual_share, tokens_available,
@@ -111,20 +110,23 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: float | None
     """
     rows = cut_lineage(sized(documents, vocabulary=vocabulary, seed=seed))
     wanted = targets.groupBy(source_name(F.col("source")).alias("source")).agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("cap")).where("source IS NOT NULL")
-    wanted_rows = [tuple(r) for r in wanted.limit(MAX_TARGETS + 1).collect()]
-    if len(wanted_rows) > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} targets")
+    wanted_rows = [tuple(r) for r in wanted.collect()]
     spark = documents.sparkSession
-    targeted = rows.join(F.broadcast(wanted.select("source")), "source", "left_semi")
-    totals = [tuple(r) for r in targeted.groupBy("source").agg(F.sum("n_tokens")).collect()]
+    targeted = rows.join(wanted.select("source"), "source", "left_semi")
+    sizes = targeted.groupBy("source").agg(F.sum("n_tokens"), F.count(F.lit(1))).collect()
+    totals = [(r[0], r[1]) for r in sizes]
     plan = plan_mixture(totals, wanted_rows, total_tokens)
-    piece = F.least(F.floor((F.lit(1.0) - F.col("key")) * ranges), F.lit(ranges - 1)).cast("int")
+    # -log(key) is exponential whatever the weight, and the logarithm of an exponential has a density of 0.37 at most:
+    # no range of this width holds more documents, also where low quality piles up at one end of the keys
+    width = min(0.005, rows_per_range / (0.37 * max((r[2] for r in sizes), default=1)))
+    distance = F.greatest(-F.log(F.greatest(F.col("key"), F.lit(1e-300))), F.lit(1e-300))
+    piece = F.floor(F.log(distance) / F.lit(width)).cast("long")
     placed = targeted.withColumn("range", piece)
     budgets = spark.createDataFrame([(s, p["epochs"], p["rest"]) for s, p in sorted(plan.items())], "source string, epochs int, rest double")
     sums = placed.groupBy("source", "range").agg(F.sum("n_tokens").alias("t"))
     upto = sums.withColumn("before", F.sum("t").over(Window.partitionBy("source").orderBy("range")) - F.col("t"))
-    cuts = upto.join(F.broadcast(budgets), "source").where("before <= rest AND before + t > rest").groupBy("source").agg(F.min("range").alias("cut"), F.min_by("before", "range").alias("before"))
-    per_source = F.broadcast(budgets.join(cuts, "source", "left"))
+    cuts = upto.join(budgets, "source").where("before <= rest AND before + t > rest").groupBy("source").agg(F.min("range").alias("cut"), F.min_by("before", "range").alias("before"))
+    per_source = budgets.join(cuts, "source", "left")
     joined = placed.join(per_source, "source")
     # no range is cut if the rest takes all documents of the source
     whole = joined.where("cut IS NULL OR range <> cut").withColumn("extra", F.when(F.col("rest") <= 0, 0).when(F.col("cut").isNull() | (F.col("range") < F.col("cut")), 1).otherwise(0))
