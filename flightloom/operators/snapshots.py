@@ -4,52 +4,51 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightloom.session import cut_lineage
+
 #: Rows of compact hashes (40 bytes each) that a bucket should hold.
 ROWS_PER_BUCKET = 1_000_000
-#: Deliveries whose numbers are held by every task.
-MAX_SNAPSHOTS = 100_000
-
-_KEYS = "__sno int, __k1 long, __k2 long, __kind string"
-
-
-def _bucket_differences(numbers: list[int]):
-    """A function from one hash bucket to its differing keys."""
-
-    def differ(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.empty(len(pdf), dtype=[("a", "<i8"), ("b", "<i8")])
-        keys["a"], keys["b"] = pdf["__k1"].to_numpy(), pdf["__k2"].to_numpy()
-        distinct, ids = np.unique(keys, return_inverse=True)
-        numbers_of, rows = pdf["__sno"].to_numpy(), pdf["__rh"].to_numpy()
-        order = np.lexsort((rows, ids, numbers_of))
-        ids, numbers_of, rows = ids[order], numbers_of[order], rows[order]
-        # several different rows of one key in one snapshot fold into one hash
-        first = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (numbers_of[1:] != numbers_of[:-1])])
-        ids, numbers_of, rows = ids[first], numbers_of[first], np.bitwise_xor.reduceat(rows, first)
-        found: list[tuple[int, np.ndarray, str]] = []
-        cut = np.searchsorted(numbers_of, np.array(numbers, dtype=numbers_of.dtype))
-        ends = np.r_[cut[1:], len(ids)]
-        for k in range(1, len(numbers)):
-            old, new = slice(cut[k - 1], ends[k - 1]), slice(cut[k], ends[k])
-            a, b = ids[old], ids[new]
-            at = np.searchsorted(a, b)
-            inside = at < len(a)
-            same = np.zeros(len(b), dtype=bool)
-            same[inside] = a[at[inside]] == b[inside]
-            back = np.searchsorted(b, a)
-            kept = np.zeros(len(a), dtype=bool)
-            ok = back < len(b)
-            kept[ok] = b[back[ok]] == a[ok]
-            changed = np.flatnonzero(same)[rows[new][same] != rows[old][at[same]]]
-            found += [(numbers[k], b[~same], "added"), (numbers[k], a[~kept], "removed"), (numbers[k], b[changed], "changed")]
-        parts = [pd.DataFrame({"__sno": n, "__k1": distinct["a"][i], "__k2": distinct["b"][i], "__kind": kind}) for n, i, kind in found if len(i)]
-        if not parts:
-            return pd.DataFrame({"__sno": pd.Series(dtype="int32"), "__k1": pd.Series(dtype="int64"), "__k2": pd.Series(dtype="int64"), "__kind": pd.Series(dtype=str)})
-        return pd.concat(parts).astype({"__sno": "int32"})
-
-    return differ
+
+_KEYS = "__at int, __k1 long, __k2 long, __kind string"
+
+
+def _bucket_differences(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Differing keys of one hash bucket; ``__at`` counts the snapshots from 1 to ``__last``."""
+    keys = np.empty(len(pdf), dtype=[("a", "<i8"), ("b", "<i8")])
+    keys["a"], keys["b"] = pdf["__k1"].to_numpy(), pdf["__k2"].to_numpy()
+    distinct, ids = np.unique(keys, return_inverse=True)
+    at, rows, last = pdf["__at"].to_numpy(), pdf["__rh"].to_numpy(), int(pdf["__last"].iloc[0])
+    order = np.lexsort((rows, ids, at))
+    ids, at, rows = ids[order], at[order], rows[order]
+    # several different rows of one key in one snapshot fold into one hash
+    first = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (at[1:] != at[:-1])])
+    ids, at, rows = ids[first], at[first], np.bitwise_xor.reduceat(rows, first)
+    found: list[tuple[int, np.ndarray, str]] = []
+    # only snapshots with rows here, and those after them, can differ
+    here = np.unique(at)
+    for k in np.unique(np.r_[here, here + 1]).tolist():
+        if not 2 <= k <= last:
+            continue
+        cut = np.searchsorted(at, [k - 1, k, k + 1])
+        old, new = slice(cut[0], cut[1]), slice(cut[1], cut[2])
+        a, b = ids[old], ids[new]
+        to = np.searchsorted(a, b)
+        inside = to < len(a)
+        same = np.zeros(len(b), dtype=bool)
+        same[inside] = a[to[inside]] == b[inside]
+        back = np.searchsorted(b, a)
+        kept = np.zeros(len(a), dtype=bool)
+        ok = back < len(b)
+        kept[ok] = b[back[ok]] == a[ok]
+        changed = np.flatnonzero(same)[rows[new][same] != rows[old][to[same]]]
+        found += [(k, b[~same], "added"), (k, a[~kept], "removed"), (k, b[changed], "changed")]
+    parts = [pd.DataFrame({"__at": k, "__k1": distinct["a"][i], "__k2": distinct["b"][i], "__kind": kind}) for k, i, kind in found if len(i)]
+    if not parts:
+        return pd.DataFrame({"__at": pd.Series(dtype="int32"), "__k1": pd.Series(dtype="int64"), "__k2": pd.Series(dtype="int64"), "__kind": pd.Series(dtype=str)})
+    return pd.concat(parts).astype({"__at": "int32"})
 
 
 def snapshot_changes(snapshots: DataFrame, number: str, key: dict[str, Column], shown: dict[str, Column], measures: list[Column], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -81,18 +80,16 @@ def snapshot_changes(snapshots: DataFrame, number: str, key: dict[str, Column],
     rows = rows.withColumn("__k1", F.xxhash64("__key")).withColumn("__k2", F.xxhash64(F.lit("second"), F.reverse("__key")))
     flat = F.concat_ws("\x1f", F.transform("__m", lambda x: F.coalesce(x, F.lit("\x00"))))
     compact = rows.select("__sno", "__k1", "__k2", F.xxhash64(flat).alias("__rh")).distinct()
-    numbers = sorted(r[0] for r in rows.select("__sno").distinct().limit(MAX_SNAPSHOTS + 1).collect())
-    if len(numbers) > MAX_SNAPSHOTS:
-        raise ValueError(f"more than {MAX_SNAPSHOTS} snapshots")
+    # one row per snapshot: its place among them, the number before it, and its rows
+    per_snapshot = rows.groupBy("__sno").agg(F.count(F.lit(1)).alias("__n"))
+    steps = per_snapshot.select("__sno", "__n", F.row_number().over(Window.orderBy("__sno")).alias("__at"), F.lag("__sno").over(Window.orderBy("__sno")).alias("__old"), F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("__last"))
+    steps = cut_lineage(steps)
+    n_rows = steps.agg(F.sum("__n")).first()[0] or 0
     partitions = int(snapshots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, snapshots.count() // rows_per_bucket + 1)
-    differing = compact.groupBy(F.pmod("__k1", F.lit(buckets)).alias("__bucket")).applyInPandas(_bucket_differences(numbers), _KEYS)
-    step = dict(zip(numbers[1:], numbers[:-1]))
-    if step:
-        before_of = F.create_map(*(F.lit(x) for pair in step.items() for x in pair))
-        differing = differing.withColumn("__old", before_of[F.col("__sno")])
-    else:
-        differing = differing.withColumn("__old", F.col("__sno"))
+    buckets = max(partitions, n_rows // rows_per_bucket + 1)
+    placed = compact.join(steps.select("__sno", "__at", "__last"), "__sno").drop("__sno")
+    differing = placed.groupBy(F.pmod("__k1", F.lit(buckets)).alias("__bucket")).applyInPandas(_bucket_differences, _KEYS)
+    differing = differing.join(steps.select("__at", "__sno", "__old"), "__at").drop("__at")
     wanted = differing.select("__k1", "__k2", "__kind", F.col("__sno").alias("__new"), "__old", F.explode(F.array("__sno", "__old")).alias("__sno"))
     full = rows.join(wanted, ["__k1", "__k2", "__sno"])
     side = lambda which: F.array_sort(F.collect_set(F.when(F.col("__sno") == F.col(which), F.col("__m"))))

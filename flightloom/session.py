@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import io
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -19,8 +21,8 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     A cluster names a folder that all executors share in ``spark.checkpoint.dir``;
-    it is used as it is.  Only where the setting is absent (tests on one machine)
-    is a folder of our own made.
+    it is used as it is.  Only where the setting is absent and all executors run on
+    this machine (tests) is a folder of our own made; a cluster without one is an error.
     """
     context = spark.sparkContext
     named = context.getConf().get(CHECKPOINT_KEY, None) or spark.conf.get(CHECKPOINT_KEY, None)
@@ -31,7 +33,10 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
         return named
     if current.isDefined():
         return current.get()
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="flightloom-checkpoint-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     context.setCheckpointDir(own)
     return own
 
