@@ -60,9 +60,11 @@ def share_movers(df: DataFrame, entity: str, ordinal: str, width: int, least: in
     totals = sums.agg(F.sum("latest").alias("tl"), F.sum("previous").alias("tp"))
     share = sums.join(F.broadcast(totals), F.lit(True)).where((F.col("latest") >= least) | (F.col("previous") >= least))
     moved = share.select(entity, "latest", "previous", (100 * F.try_divide(F.col("latest").cast("double"), F.col("tl").cast("double")) - 100 * F.try_divide(F.col("previous").cast("double"), F.col("tp").cast("double"))).alias("delta"))
-    both = Window.partitionBy(F.lit(0))
-    placed = moved.withColumn("up", F.row_number().over(both.orderBy(F.desc("delta"), entity))).withColumn("down", F.row_number().over(both.orderBy("delta", entity)))
-    return placed.where((F.col("up") <= n) | (F.col("down") <= n)).select(entity, "latest", "previous", F.round("delta", 9).alias("delta_pp"), F.when(F.col("down") <= n, "loser").otherwise("gainer").alias("side"))
+    # two top-n plans, each task keeps n rows, instead of one order of all entities
+    shown = lambda side: [F.col(entity), F.col("latest"), F.col("previous"), F.round("delta", 9).alias("delta_pp"), F.lit(side).alias("side")]
+    losers = moved.orderBy("delta", entity).limit(n).select(*shown("loser"))
+    gainers = moved.orderBy(F.desc("delta"), entity).limit(n).select(*shown("gainer"))
+    return losers.unionByName(gainers.join(losers, entity, "left_anti"))
 
 
 def seasonality(monthly: DataFrame, least_years: int = 3, least_t12: int = 100_000, most: int = 60) -> DataFrame:

@@ -11,7 +11,7 @@ from flightloom.functions import keys, periods, text
 from flightloom.operators import canonical, dashboard, focus, resolve, windows
 from flightloom.plans.data_sql import AIRPORT, CARRIER, QUARTER, ROUTE
 from flightloom.quality import checks, revisions
-from flightloom.sources import links, manifest, sheets
+from flightloom.sources import links, manifest, sheets, sinks
 from flightloom.sources.tables import CARRIER_METRICS, SPECS, airport_months, airport_quarters, carrier_months, read_table, route_months, rows_that_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,7 +79,8 @@ def city_pairs(spark: SparkSession, root: str) -> DataFrame:
 
 def resolved_pairs(spark: SparkSession, root: str) -> DataFrame:
     """Pairs added up per month and label pair first: fewer rows are resolved than read."""
-    return resolve.resolve_pairs(city_pairs(spark, root), label_dim(spark))
+    total = city_pairs(spark, root).groupBy("p", "city1", "city2").agg(F.sum("to_pax").alias("to_pax"), F.sum("from_pax").alias("from_pax"), F.count(F.lit(1)).alias("n_rows"))
+    return resolve.resolve_pairs(total, label_dim(spark))
 
 
 @query(f"WITH {AIRPORT} SELECT airport, p, CAST(CASE WHEN count(passengers) OVER w = 12 THEN sum(passengers) OVER w END AS BIGINT) AS total FROM airport_m WINDOW w AS (PARTITION BY airport ORDER BY p RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)")
@@ -119,7 +120,7 @@ def jon03_conflicts(spark, root):
 
 @query(f"WITH {RESOLVED} SELECT a1, a2, count(*) AS n, CAST(sum(coalesce(to_pax, 0)) AS BIGINT) AS to_pax, CAST(sum(coalesce(from_pax, 0)) AS BIGINT) AS from_pax FROM res GROUP BY a1, a2")
 def jon04_pair_endpoints(spark, root):
-    return resolved_pairs(spark, root).groupBy("a1", "a2").agg(F.count(F.lit(1)).alias("n"), canonical.sum0("to_pax").cast("bigint").alias("to_pax"), canonical.sum0("from_pax").cast("bigint").alias("from_pax"))
+    return resolved_pairs(spark, root).groupBy("a1", "a2").agg(F.sum("n_rows").alias("n"), canonical.sum0("to_pax").cast("bigint").alias("to_pax"), canonical.sum0("from_pax").cast("bigint").alias("from_pax"))
 
 
 @query(f"""WITH {DIM}, o AS (SELECT DISTINCT n_name AS label, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
@@ -391,7 +392,8 @@ def flt02_not_in_keeps_null(spark, root):
 @query(f"WITH {RESOLVED} SELECT count(*) FILTER (WHERE a1 IS NOT NULL AND a2 IS NOT NULL AND a1 <> a2) AS routable, count(*) FILTER (WHERE a1 IS NOT NULL OR a2 IS NOT NULL) AS attributable, count(*) AS n FROM res")
 def flt04_routable(spark, root):
     r = resolved_pairs(spark, root)
-    return r.agg(F.count_if(F.expr("a1 IS NOT NULL AND a2 IS NOT NULL AND a1 <> a2")).alias("routable"), F.count_if(F.expr("a1 IS NOT NULL OR a2 IS NOT NULL")).alias("attributable"), F.count(F.lit(1)).alias("n"))
+    rows = lambda x: F.coalesce(F.sum(F.when(F.expr(x), F.col("n_rows"))), F.lit(0))
+    return r.agg(rows("a1 IS NOT NULL AND a2 IS NOT NULL AND a1 <> a2").alias("routable"), rows("a1 IS NOT NULL OR a2 IS NOT NULL").alias("attributable"), rows("true").alias("n"))
 
 
 @query(f"WITH {AIRPORT} SELECT airport, p, passengers, departures, arrivals FROM airport_m WHERE least(passengers, departures, arrivals) < 0")
@@ -828,10 +830,13 @@ def man06_head_change(spark, root):
     return j.select("c_custkey", manifest.head_change(F.col("c_name"), F.col("s_name"), n("c_acctbal"), n("s_acctbal")).alias("verdict"))
 
 
-@query("SELECT * FROM (SELECT 'airport_monthly' AS name, count(*) AS n_rows, '2.0' AS version FROM airport_monthly UNION ALL SELECT 'carrier_monthly', count(*), '1.0' FROM carrier_monthly UNION ALL SELECT 'domestic_route_monthly', count(*), '1.0' FROM domestic_route_monthly)")
+_PUBLISHED = ("airport_monthly", "carrier_monthly", "domestic_route_monthly")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, (SELECT count(*) FROM {t}) AS n_rows, (SELECT string_agg(column_name, ',') FROM (DESCRIBE {t})) AS columns, '{SPECS[t].version}' AS version" for t in _PUBLISHED))
 def snk03_metadata(spark, root):
-    parts = [read_table(spark, root, n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "n_rows", F.lit(SPECS[n].version).alias("version")) for n in ("airport_monthly", "carrier_monthly", "domestic_route_monthly")]
-    return checks.gather(parts)
+    found = sinks.table_metadata({t: read_table(spark, root, t) for t in _PUBLISHED})
+    return spark.createDataFrame([(t, m["rows"], ",".join(m["columns"]), m["version"]) for t, m in found.items()], "name string, n_rows long, columns string, version string")
 
 
 @query(None)

@@ -376,6 +376,9 @@ def test_deliveries_as_a_stream(spark, tmp_path):
     run_deliveries(spark, stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ["v"]).awaitTermination()
     last = sorted((tmp_path / "out").glob("version=*"))[-1]
     assert {(r.k, r.v) for r in spark.read.parquet(str(last)).collect()} == {("a", 5), ("b", 2), ("c", 3)}
+    assert {(r.k, r.kind, r.measure) for r in spark.read.parquet(str(tmp_path / "out" / "changes")).collect()} >= {("c", "added", "v")}
+    with pytest.raises(ValueError):
+        run_deliveries(spark, stream, str(tmp_path / "out"), str(tmp_path / "another"), ["k"], ["v"])
 
 
 # --- assumptions
