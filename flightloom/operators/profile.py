@@ -201,8 +201,9 @@ def _per_model(tasks: dict[str, _Task], work):
 
 def _moments(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
     _, w = task.weights(load_no)
+    upper = np.triu_indices(x.shape[1])
     for k in range(len(task.models)):
-        yield ((x * w[:, k : k + 1]).T @ x).ravel()
+        yield ((x * w[:, k : k + 1]).T @ x)[upper]
 
 
 def _gradients(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
@@ -269,7 +270,10 @@ def _fit(sample: DataFrame, tasks: dict[str, _Task]) -> None:
     curved = {}
     for table, fold, k, v in _summed(sample, tasks, _moments):
         d = tasks[table].beta.shape[2]
-        curved[table, fold, k] = np.linalg.inv(v.reshape(d, d) / 4.0 + RIDGE * np.eye(d))
+        whole = np.zeros((d, d))
+        whole[np.triu_indices(d)] = v
+        whole = whole + np.triu(whole, 1).T
+        curved[table, fold, k] = np.linalg.inv(whole / 4.0 + RIDGE * np.eye(d))
     for _ in range(STEPS):
         for table, fold, k, g in _summed(sample, tasks, _gradients):
             beta = tasks[table].beta[fold, k]
