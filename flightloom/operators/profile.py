@@ -41,9 +41,11 @@ class Limits:
 def load_cells(df: DataFrame, table: str, load: str, checks: list[ColumnCheck]) -> DataFrame:
     """Counts of like cells per column and load: the sufficient statistics of every profile.
 
-    One pass over the named columns and one aggregate with map-side combine.  A cell is
-    null or not, inside or outside its domain, has a sign, a magnitude to ``DIGITS``
-    significant digits and a last digit.
+    One pass over the named columns and one aggregate with map-side combine.  Each cell is
+    counted by its ``value``, that is its sign and its magnitude to ``DIGITS`` significant
+    digits, and apart from that (``value`` null) by its last digit, with nulls, values outside
+    the domain and the range.  By both at once nearly every cell of a task would be its own
+    kind and go through the shuffle.
     """
     def cell(c: ColumnCheck):
         v = F.col(c.column).cast("double")
@@ -55,13 +57,17 @@ def load_cells(df: DataFrame, table: str, load: str, checks: list[ColumnCheck])
         decade = F.floor(F.log10(F.abs(v))) - (DIGITS - 1)
         rounded = F.when(v == 0, F.lit(0.0)).otherwise(F.round(v / F.pow(F.lit(10.0), decade)) * F.pow(F.lit(10.0), decade))
         digit = F.lit(None).cast("int") if c.last_digit_unit is None else (F.round(F.abs(v) / F.lit(c.last_digit_unit)).cast("long") % 10).cast("int")
-        return F.struct(F.lit(c.column).alias("column_name"), F.coalesce(bad, F.lit(False)).alias("bad"), F.round(rounded, 9).alias("value"), digit.alias("digit"), v.alias("raw"))
+        none, outside = F.lit(None), F.coalesce(bad, F.lit(False)).cast("int")
+        fields = lambda sized, value, digit, outside, raw: F.struct(
+            F.lit(c.column).alias("column_name"), F.lit(sized).alias("sized"), value.cast("double").alias("value"), digit.cast("int").alias("digit"), outside.alias("outside"), raw.cast("double").alias("raw")
+        )
+        return [fields(True, F.round(rounded, 9), none, F.lit(0), none), fields(False, none, digit, outside, v)]
 
-    rows = df.select(F.col(load).cast("int").alias("load_no"), F.explode(F.array(*(cell(c) for c in checks))).alias("c")).where("load_no IS NOT NULL")
+    rows = df.select(F.col(load).cast("int").alias("load_no"), F.explode(F.array(*(x for c in checks for x in cell(c)))).alias("c")).where("load_no IS NOT NULL AND (NOT c.sized OR c.value IS NOT NULL)")
     return (
-        rows.select(F.lit(table).alias("table_name"), "c.column_name", "load_no", "c.bad", "c.value", "c.digit", "c.raw")
-        .groupBy("table_name", "column_name", "load_no", "bad", "value", "digit")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("raw").alias("least"), F.max("raw").alias("most"))
+        rows.select(F.lit(table).alias("table_name"), "c.column_name", "load_no", "c.value", "c.digit", "c.outside", "c.raw")
+        .groupBy("table_name", "column_name", "load_no", "value", "digit")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("raw").alias("filled"), F.sum("outside").alias("outside"), F.min("raw").alias("least"), F.max("raw").alias("most"))
     )
 
 
@@ -102,11 +108,10 @@ def base_profile(cells: DataFrame) -> DataFrame:
     """
     cells = cut_lineage(cells)
     load = ["table_name", "column_name", "load_no"]
-    null = F.col("value").isNull()
-    figures = cells.groupBy(*load).agg(
+    figures = cells.where("value IS NULL").groupBy(*load).agg(
         F.sum("n").alias("n_rows"),
-        F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("n_null"),
-        F.coalesce(F.sum(F.when(F.col("bad"), F.col("n"))), F.lit(0)).alias("n_outside"),
+        (F.sum("n") - F.sum("filled")).alias("n_null"),
+        F.sum("outside").alias("n_outside"),
         F.min("least").alias("least"),
         F.max("most").alias("most"),
     )
@@ -173,13 +178,21 @@ class _Task:
     def total(self) -> int:
         return sum(self.rows.values())
 
-    def weights(self, load_no: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class of each fitted row for each model, and weights under which both classes weigh about 1."""
-        loads, at = np.unique(load_no, return_inverse=True)
-        drawn = np.array([max(1.0, self.rows[x] / FITTED_ROWS) for x in loads.tolist()])[at]
+    @property
+    def shares(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of a row of each model's load, and of one of the others, under which both weigh about 1."""
         size = np.array([self.rows[x] for x in self.models.tolist()], dtype=float)
+        return 2.0 / size, 2.0 / np.maximum(self.total - size, 1.0)
+
+    def drawn(self, load_no: np.ndarray) -> np.ndarray:
+        """Rows of the load that each fitted row stands for."""
+        loads, at = np.unique(load_no, return_inverse=True)
+        return np.array([max(1.0, self.rows[x] / FITTED_ROWS) for x in loads.tolist()])[at]
+
+    def weights(self, load_no: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class of each fitted row for each model, and its weight."""
         own = load_no[:, None] == self.models
-        return own, drawn[:, None] * np.where(own, 2.0 / size, 2.0 / np.maximum(self.total - size, 1.0))
+        return own, self.drawn(load_no)[:, None] * np.where(own, *self.shares)
 
 
 def _per_model(tasks: dict[str, _Task], work):
@@ -191,7 +204,7 @@ def _per_model(tasks: dict[str, _Task], work):
             for (table, fold), part in pdf.groupby(["table_name", "fold"], sort=False):
                 if table not in tasks:
                     continue
-                for k, v in enumerate(work(tasks[table], fold, _design(part["f"]), part["load_no"].to_numpy())):
+                for k, v in work(tasks[table], fold, _design(part["f"]), part["load_no"].to_numpy()):
                     key = (table, fold, k)
                     sums[key] = sums[key] + v if key in sums else v
         yield pd.DataFrame([(*k, v) for k, v in sums.items()], columns=["table_name", "fold", "k", "v"])
@@ -200,16 +213,18 @@ def _per_model(tasks: dict[str, _Task], work):
 
 
 def _moments(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
-    _, w = task.weights(load_no)
-    upper = np.triu_indices(x.shape[1])
-    for k in range(len(task.models)):
-        yield ((x * w[:, k : k + 1]).T @ x)[upper]
+    """Upper halves of the second moments of the loads that have rows here, and at -1 of all rows; every model's are a sum of both."""
+    upper, drawn = np.triu_indices(x.shape[1]), task.drawn(load_no)[:, None]
+    yield -1, ((x * drawn).T @ x)[upper]
+    for k in np.flatnonzero(np.isin(task.models, load_no)).tolist():
+        own = load_no == task.models[k]
+        yield k, ((x[own] * drawn[own]).T @ x[own])[upper]
 
 
 def _gradients(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
     own, w = task.weights(load_no)
     p = 1.0 / (1.0 + np.exp(-np.clip(x @ task.beta[fold].T, -30, 30)))
-    yield from (x.T @ (w * (own - p))).T
+    yield from enumerate((x.T @ (w * (own - p))).T)
 
 
 def _counted(score: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -222,7 +237,7 @@ def _counted(score: np.ndarray, own: np.ndarray) -> np.ndarray:
 def _whole_scores(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
     score = x @ task.beta[1 - fold].T
     for k, load in enumerate(task.models):
-        yield _counted(score[:, k], load_no == load)
+        yield k, _counted(score[:, k], load_no == load)
 
 
 def _parts(columns: int) -> list[slice]:
@@ -239,7 +254,7 @@ def _part_scores(task: _Task, fold: int, x: np.ndarray, load_no: np.ndarray):
         for at in _parts((x.shape[1] - 1) // PER_COLUMN):
             part = x[:, at] @ beta[at]
             counts += [_counted(score - part, own), _counted(part, own)]
-        yield np.concatenate(counts)
+        yield k, np.concatenate(counts)
 
 
 def _summed(rows: DataFrame, tasks: dict[str, _Task], work) -> list[tuple[str, int, int, np.ndarray]]:
@@ -267,13 +282,15 @@ def _areas(rows: DataFrame, tasks: dict[str, _Task], work) -> dict[tuple[str, in
 
 def _fit(sample: DataFrame, tasks: dict[str, _Task]) -> None:
     """Logistic regressions by bounded Newton steps: curvature at even odds bounds every later one, so it is summed once."""
-    curved = {}
-    for table, fold, k, v in _summed(sample, tasks, _moments):
-        d = tasks[table].beta.shape[2]
-        whole = np.zeros((d, d))
-        whole[np.triu_indices(d)] = v
-        whole = whole + np.triu(whole, 1).T
-        curved[table, fold, k] = np.linalg.inv(whole / 4.0 + RIDGE * np.eye(d))
+    curved, moments = {}, {(table, fold, k): v for table, fold, k, v in _summed(sample, tasks, _moments)}
+    for table, fold in [key[:2] for key in moments if key[2] < 0]:
+        every, d = moments[table, fold, -1], tasks[table].beta.shape[2]
+        for k, (share, other) in enumerate(zip(*tasks[table].shares)):
+            own = moments.get((table, fold, k), np.zeros_like(every))
+            whole = np.zeros((d, d))
+            whole[np.triu_indices(d)] = share * own + other * (every - own)
+            whole = whole + np.triu(whole, 1).T
+            curved[table, fold, k] = np.linalg.inv(whole / 4.0 + RIDGE * np.eye(d))
     for _ in range(STEPS):
         for table, fold, k, g in _summed(sample, tasks, _gradients):
             beta = tasks[table].beta[fold, k]
@@ -302,9 +319,9 @@ def discrimination(rows: DataFrame, order: dict[str, list[str]]) -> DataFrame:
         return spark.createDataFrame([], _TESTED)
     rates = spark.createDataFrame([(t, load, FITTED_ROWS / n) for t, by in sorted(counts.items()) for load, n in sorted(by.items())], "table_name string, load_no int, rate double")
     drawn = sum(min(n, FITTED_ROWS) for by in counts.values() for n in by.values())
-    # folds are told by the lowest bit of the hash, the draw by its highest
-    sample = rows.join(rates, ["table_name", "load_no"]).where("u < rate").drop("rate", "u")
-    sample = cut_lineage(sample.repartition(drawn // ROWS_PER_TASK + 1))
+    # folds are told by the lowest bit of the hash, the draw by its highest; rates are one row a load, and no other row is moved for them
+    sample = rows.join(F.broadcast(rates), ["table_name", "load_no"]).where("u < rate").drop("rate", "u")
+    sample = cut_lineage(sample.repartition(drawn // ROWS_PER_TASK + 1, "table_name", "load_no", "fold"))
     width = {t: 1 + PER_COLUMN * len(order[t]) for t in counts}
     out = []
     for low in range(0, max(map(len, counts.values())), LOADS_PER_PASS):

@@ -278,6 +278,50 @@ def test_fitted_rows_are_bounded_and_all_rows_scored(spark, monkeypatch):
     assert 450 < seen[0] < 750 and got[1].discrimination > 0.9 and got[1].scale_lost > 0.3
 
 
+def test_rows_of_a_load_are_not_moved_for_the_sample(spark, monkeypatch):
+    """The draw moves only drawn rows, whatever size Spark expects of the rates."""
+    plans = []
+    monkeypatch.setattr(P, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))) or df)
+    df = spark.createDataFrame([(load, load * 100 + i, float(i)) for load in (1, 2) for i in range(20)], "load_no int, id int, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        P.discrimination(P.features(df, "t", "load_no", [P.ColumnCheck("v")], ["id"]), {"t": ["v"]}).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p and "ShuffledHashJoin" not in p for p in plans)
+
+
+def test_like_cells_are_few(spark):
+    """Sizes and last digits are counted apart, so that a load of many values has few kinds of cells, and all are counted."""
+    rng = random.Random(11)
+    rows = [(1, v) for v in (rng.randrange(10_000, 99_999) for _ in range(20_000))] + [(1, None), (1, -5)]
+    df = spark.createDataFrame(rows, "load_no int, v long").coalesce(1)
+    cells = P.load_cells(df, "t", "load_no", [P.ColumnCheck("v", 0.0, None, 1.0)]).collect()
+    has = [v for _, v in rows if v is not None]
+    assert len(cells) <= len({round(v, -2) if v > 0 else v for v in has}) + 11
+    sized, digits = [c for c in cells if c.value is not None], [c for c in cells if c.value is None]
+    assert sum(c.n for c in sized) == len(has) and (sum(c.n for c in digits), sum(c.filled for c in digits), sum(c.outside for c in digits)) == (len(rows), len(has), 1)
+    assert {c.digit: c.n for c in digits if c.digit is not None} == {d: sum(abs(v) % 10 == d for v in has) for d in range(10)}
+
+
+def test_moments_of_models_are_sums_over_loads():
+    """What tasks send by load gives the second moments of every model, also of one without rows in a task."""
+    rng = np.random.default_rng(12)
+    x, load_no, rows = rng.normal(size=(60, 4)), np.repeat([1, 2, 3], 20), {1: 20, 2: 40_000, 3: 20, 4: 7}
+    task = P._Task(np.array([2, 3, 4]), rows, np.zeros((2, 3, 4)))
+    sums = {}
+    for part in (slice(0, 25), slice(25, 60)):
+        for k, v in P._moments(task, 0, x[part], load_no[part]):
+            sums[k] = sums.get(k, 0) + v
+    _, w = task.weights(load_no)
+    own, other = task.shares
+    for k in range(3):
+        want = ((x * w[:, k : k + 1]).T @ x)[np.triu_indices(4)]
+        mine = sums.get(k, 0)
+        assert np.allclose(own[k] * mine + other[k] * (sums[-1] - mine), want)
+    assert set(sums) == {-1, 0, 1}
+
+
 def test_column_profile(spark):
     df = spark.createDataFrame([(1, "AB", 1), (1, "ab", None), (1, "AB", 2), (2, None, 3)], "load_no int, code string, n int")
     got = {(r.load_no, r.column_name): (r.n_rows, r.n_null, r.n_distinct, r.n_violations) for r in P.column_profile(df, "load_no", {"code": "^[A-Z]+$"}).collect()}
